@@ -1,0 +1,34 @@
+"""Join helpers: size-checked broadcast and a left join that never shuffles its big side."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension we broadcast without question: zones (<= 265 by rule) and calendar days are
+# orders of magnitude below it.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only after checking it holds at most ``max_rows`` rows.
+
+    The check is a ``limit(max_rows + 1).count()`` job, which stops early on big inputs. Above
+    the bound the frame is returned unmarked, so the planner (and AQE at runtime) choose a
+    shuffle join instead of shipping an unbounded table to every executor."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def left_join_small_left(small: DataFrame, big: DataFrame, key: str) -> DataFrame:
+    """``small LEFT JOIN big USING (key)`` without shuffling ``big``.
+
+    Spark cannot broadcast the preserved (left) side of a left outer join, so the plain form
+    shuffles the big side by key -- and a hot key lands in one task. Instead: inner join with
+    ``small`` broadcast (no shuffle of ``big``), plus the ``small`` rows whose key has no match
+    (anti join against the distinct keys of ``big``, a partial aggregate)."""
+    small_b = broadcast_if_small(small)
+    matched = big.join(small_b, key, "inner")
+    big_keys = big.select(key).distinct()
+    unmatched = small.join(big_keys, key, "left_anti")
+    cols = small.columns + [c for c in big.columns if c != key]
+    return matched.select(*cols).unionByName(unmatched, allowMissingColumns=True).select(*cols)
