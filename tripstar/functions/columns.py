@@ -54,7 +54,10 @@ _RING = T.ArrayType(T.ArrayType(T.DoubleType()))
 _POLYGON = T.ArrayType(_RING)
 _MULTI = T.ArrayType(_POLYGON)
 _ENVELOPE = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
-_ZERO = F.struct(F.lit(0.0).alias("a2"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
+
+
+def _zero() -> Column:
+    return F.struct(F.lit(0.0).alias("a2"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
 
 
 def _ring_moments(ring: Column, is_outer: Column) -> Column:
@@ -75,7 +78,7 @@ def _ring_moments(ring: Column, is_outer: Column) -> Column:
             (acc.my + (t.y1 + t.y2) * c).alias("my"),
         )
 
-    local = F.aggregate(pairs, _ZERO, step)
+    local = F.aggregate(pairs, _zero(), step)
     sign = F.signum(local.a2) * F.when(is_outer, F.lit(1.0)).otherwise(F.lit(-1.0))
     return F.struct(
         (sign * local.a2).alias("a2"),
@@ -100,10 +103,10 @@ def geometry_moments(geojson: Column | str) -> Column:
     per_polygon = F.transform(
         polygons,
         lambda poly: F.aggregate(
-            F.transform(poly, lambda ring, i: _ring_moments(ring, i == 0)), _ZERO, _add
+            F.transform(poly, lambda ring, i: _ring_moments(ring, i == 0)), _zero(), _add
         ),
     )
-    return F.aggregate(per_polygon, _ZERO, _add)
+    return F.aggregate(per_polygon, _zero(), _add)
 
 
 def moments_centroid(a2: Column, mx: Column, my: Column) -> tuple[Column, Column, Column]:

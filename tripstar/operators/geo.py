@@ -42,10 +42,8 @@ def geometry_centroids(geometry: DataFrame, level: int = DEFAULT_CELL_LEVEL) ->
     m = geometry_moments("polygon_geojson")
     area, lat, lon = moments_centroid(m.a2, m.mx, m.my)
     out = geometry.withColumns({"area": area, "centroid_lat": lat, "centroid_lon": lon})
-    return out.withColumns({
-        "geo_hash": spatial_cell("centroid_lat", "centroid_lon", level),
-        "h3_resolution": F.lit(level),
-    })
+    out = out.withColumn("geo_hash", spatial_cell("centroid_lat", "centroid_lon", level))
+    return out.withColumn("h3_resolution", F.when(F.col("geo_hash").isNotNull(), F.lit(level)))
 
 
 def zone_geometry_join(lookup: DataFrame, geometry: DataFrame, level: int = DEFAULT_CELL_LEVEL) -> DataFrame:
