@@ -55,14 +55,26 @@ def validity(rules: list[Rule]) -> Column:
     return reduce(lambda a, b: a & b, (pred for _, pred in rules))
 
 
-def failed_rules(rules: list[Rule]) -> Column:
-    """``array<string>`` of the rules a row fails (``name``) or cannot be judged on
-    (``name_null``), in rule order."""
+def _rule_flags(rules: list[Rule]) -> list[tuple[str, Column]]:
+    """For each rule: (``name``, fails) and (``name_null``, cannot be judged)."""
     flags = []
     for name, pred in rules:
-        flags.append(F.when(~pred, F.lit(name)))
-        flags.append(F.when(pred.isNull(), F.lit(f"{name}_null")))
-    return F.filter(F.array(*flags), lambda x: x.isNotNull())
+        flags.append((name, ~pred))
+        flags.append((f"{name}_null", pred.isNull()))
+    return flags
+
+
+def failed_rules(rules: list[Rule]) -> Column:
+    """Comma-joined names of the rules a row fails (``name``) or cannot be judged on
+    (``name_null``), in rule order; ``''`` for a valid row. ``concat_ws`` skips NULLs, so this
+    stays a plain codegen'd expression (no higher-order lambda)."""
+    return F.concat_ws(",", *[F.when(flag, F.lit(name)) for name, flag in _rule_flags(rules)])
+
+
+def failed_rule_list(rules: list[Rule]) -> Column:
+    """``array<string>`` form of :func:`failed_rules`."""
+    return F.filter(F.array(*[F.when(flag, F.lit(name)) for name, flag in _rule_flags(rules)]),
+                    lambda x: x.isNotNull())
 
 
 def valid_rows(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
@@ -83,7 +95,7 @@ def quarantine_rows(df: DataFrame, rules: list[Rule] | None = None, on_null: str
         raise ValueError(f"on_null must be 'quarantine' or 'drop', got {on_null!r}")
     return df.filter(keep).withColumns({
         "quarantine_reason": F.lit(QUARANTINE_REASON),
-        "failed_rules": F.array_join(failed_rules(rules), ","),
+        "failed_rules": failed_rules(rules),
     })
 
 
@@ -99,7 +111,11 @@ def split(df: DataFrame, rules: list[Rule] | None = None, on_null: str = "quaran
 
 
 def reason_counts(quarantine: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
-    """Quarantined rows per failed rule (a row failing k rules counts once for each)."""
-    reasons = failed_rules(rules or ride_rules())
-    return (quarantine.select(F.explode(reasons).alias("rule"))
-            .groupBy("rule").agg(F.count(F.lit(1)).alias("n_rows")))
+    """Quarantined rows per failed rule (a row failing k rules counts once for each).
+
+    One aggregate row with a ``count_if`` per rule flag (partial aggregation, no explode of rows),
+    unpivoted with ``stack``; rules no row failed are left out."""
+    flags = _rule_flags(rules or ride_rules())
+    one = quarantine.agg(*[F.count_if(flag).alias(f"f{i}") for i, (_, flag) in enumerate(flags)])
+    pairs = ", ".join(f"'{name}', f{i}" for i, (name, _) in enumerate(flags))
+    return one.selectExpr(f"stack({len(flags)}, {pairs}) AS (rule, n_rows)").filter("n_rows > 0")
