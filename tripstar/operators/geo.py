@@ -39,9 +39,10 @@ def geometry_centroids(geometry: DataFrame, level: int = DEFAULT_CELL_LEVEL) ->
     """Per geometry row: ``area`` (square degrees), ``centroid_lat``, ``centroid_lon`` (area
     centroid, may lie outside the shape), and ``geo_hash`` = spatial cell of the centroid.
     Zero-area or unparsable geometry gives NULLs."""
-    m = geometry_moments("polygon_geojson")
-    area, lat, lon = moments_centroid(m.a2, m.mx, m.my)
-    out = geometry.withColumns({"area": area, "centroid_lat": lat, "centroid_lon": lon})
+    # the moments struct is materialised once as a column; its fields are read afterwards
+    out = geometry.withColumn("_m", geometry_moments("polygon_geojson"))
+    area, lat, lon = moments_centroid(F.col("_m.a2"), F.col("_m.mx"), F.col("_m.my"))
+    out = out.withColumns({"area": area, "centroid_lat": lat, "centroid_lon": lon}).drop("_m")
     out = out.withColumn("geo_hash", spatial_cell("centroid_lat", "centroid_lon", level))
     return out.withColumn("h3_resolution", F.when(F.col("geo_hash").isNotNull(), F.lit(level)))
 
@@ -66,11 +67,11 @@ def combine_zone_geometry(geometry: DataFrame, level: int = DEFAULT_CELL_LEVEL)
     summed, i.e. area-weighted), ``parts``, and as ``polygon_geojson`` the largest part (ties:
     smallest text). ``sum``/``max`` are partial aggregates, so a zone with very many parts never
     gathers them in one place."""
-    m = geometry_moments("polygon_geojson")
-    parts = geometry.select(
+    parts = geometry.select("location_id", "polygon_geojson", geometry_moments("polygon_geojson").alias("_m"))
+    parts = parts.select(
         "location_id", "polygon_geojson",
-        m.a2.alias("a2"), m.mx.alias("mx"), m.my.alias("my"),
-        F.round(F.abs(m.a2) / 2.0, 8).alias("area8"),
+        F.col("_m.a2").alias("a2"), F.col("_m.mx").alias("mx"), F.col("_m.my").alias("my"),
+        F.round(F.abs(F.col("_m.a2")) / 2.0, 8).alias("area8"),
     )
     agg = parts.groupBy("location_id").agg(
         F.count(F.lit(1)).alias("parts"),

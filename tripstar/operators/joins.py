@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripstar.paths import checkpoint_root
+
 # Largest dimension we broadcast without question: zones (<= 265 by rule) and calendar days are
 # orders of magnitude below it.
 MAX_BROADCAST_ROWS = 200_000
@@ -13,10 +15,14 @@ MAX_BROADCAST_ROWS = 200_000
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only after checking it holds at most ``max_rows`` rows.
 
-    The check is a ``limit(max_rows + 1).count()`` job, which stops early on big inputs. Above
-    the bound the frame is returned unmarked, so the planner (and AQE at runtime) choose a
-    shuffle join instead of shipping an unbounded table to every executor."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    The first ``max_rows + 1`` rows are checkpointed (a bounded write to the shared
+    ``spark.checkpoint.dir``) and counted. Within the bound the checkpoint *is* the whole frame,
+    so the join broadcasts it without computing ``df`` a second time. Above the bound the
+    original frame is returned unmarked, so the planner (and AQE at runtime) choose a shuffle
+    join instead of shipping an unbounded table to every executor."""
+    checkpoint_root(df.sparkSession)
+    head = df.limit(max_rows + 1).checkpoint(eager=True)
+    return F.broadcast(head) if head.count() <= max_rows else df
 
 
 def left_join_small_left(small: DataFrame, big: DataFrame, key: str) -> DataFrame:

@@ -12,8 +12,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None = None) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_scan(df, spread_key) if spread_key else df
+
+
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan over the cluster when it yields fewer input partitions than there are
+    task slots (e.g. one unsplittable Parquet row group), so the per-row derivations after it
+    run in parallel. A scan of a large table already has more splits than slots and is left
+    untouched, so at scale this adds no shuffle. Hash partitioning on a high-cardinality key is
+    deterministic under task retries without the local sort a round-robin repartition needs.
+    The decision uses planning metadata only."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots, key) if df.rdd.getNumPartitions() < slots else df
 
 
 def _add_seconds(seconds: Column, ts: Column) -> Column:
@@ -26,7 +38,7 @@ def bronze_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The copy is produced with ``explode`` over a one- or two-element array, so ``lineitem``
     is scanned once (a ``union`` would scan it twice)."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem", spread_key="l_orderkey").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate",
     )
@@ -133,7 +145,7 @@ def zone_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``4 * p_size`` milli-degrees; every 10th part (key % 10 = 3) a two-square MultiPolygon, key %
     10 = 7 a square with an off-centre hole, key % 97 = 0 a zero-area square; key % 4 = 1 rings
     run clockwise."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    p = table(spark, sf_dir, "part", spread_key="p_partkey").select("p_partkey", "p_size")
     k = F.col("p_partkey")
     p = p.select(
         _zone_id().alias("location_id"),
