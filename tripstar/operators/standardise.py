@@ -68,11 +68,13 @@ def fill_on_scene(df: DataFrame) -> DataFrame:
 def add_trip_id(df: DataFrame, mode: str = "hash", key: Iterable[str] = schemas.NATURAL_KEY) -> DataFrame:
     """Surrogate ``trip_id`` (BIGINT).
 
-    ``hash`` (default): ``xxhash64`` of the natural key -- stable across runs and retries,
-    independent of partitioning, and transparent to filter pushdown. Unique once the input is
-    deduplicated on that key (up to 64-bit collisions; :func:`tripstar.operators.metrics.id_uniqueness`
-    checks it). ``monotonic``: ``monotonically_increasing_id()``, unique per run without dedupe but
-    tied to the input's partitioning; apply it after filters so they still reach the scan."""
+    ``hash``: ``xxhash64`` of the natural key -- stable across runs, retries and added months,
+    independent of partitioning, transparent to filter pushdown; unique once the input is
+    deduplicated on the key up to 64-bit collisions (expected colliding pairs n^2 / 2^65: about
+    0.002 at 2.5e8 rows, about 1 at 6e9), which :func:`tripstar.operators.metrics.id_uniqueness`
+    detects. ``monotonic``: ``monotonically_increasing_id()``, exactly unique; deterministic when
+    the input's partitioning and row order are (e.g. right after the dedupe). Apply it after
+    filters so they still reach the scan."""
     if mode == "hash":
         return df.withColumn("trip_id", F.xxhash64(*[F.col(_q(c)) for c in key]))
     if mode == "monotonic":

@@ -40,7 +40,7 @@ def build_reference(spark: SparkSession, paths: LakePaths, zone_lookup: DataFram
 
 
 def run_bronze_to_silver(spark: SparkSession, paths: LakePaths, bronze: DataFrame | None = None,
-                         on_null: str = "quarantine", id_mode: str = "hash",
+                         on_null: str = "quarantine", id_mode: str = "monotonic",
                          quarantine_mode: str = "overwrite", run_id: str | None = None) -> dict[str, int]:
     bronze = bronze if bronze is not None else read_bronze(spark, paths.bronze_rides, schemas.BRONZE_RIDES)
     res = bronze_to_silver(bronze, on_null=on_null, id_mode=id_mode)
@@ -75,7 +75,7 @@ def run_silver_to_gold(spark: SparkSession, paths: LakePaths, database: str | No
 
 
 def run_pipeline(spark: SparkSession, paths: LakePaths, bronze: DataFrame | None = None,
-                 database: str | None = None, on_null: str = "quarantine", id_mode: str = "hash",
+                 database: str | None = None, on_null: str = "quarantine", id_mode: str = "monotonic",
                  dynamic_overwrite: bool = False) -> PipelineResult:
     """Bronze -> silver -> gold (-> catalog). The zone reference must exist at
     ``paths.zone_reference`` (see :func:`build_reference`)."""
