@@ -243,7 +243,14 @@ ORACLE_SQL: dict[str, str] = {
     "valid_rides": _q("SELECT * FROM valid"),
     "quarantine_rides": _q("SELECT * FROM quarantine"),
     "unknown_validity_rides": _q(f"SELECT {PREPARED_COLS} FROM flagged WHERE is_valid IS NULL"),
-    "quarantine_reason_counts": _q("""SELECT rule, CAST(count(*) AS BIGINT) AS n_rows
+    "quarantine_reason_counts": _q("""SELECT rule, CASE
+    WHEN replace(rule, '_null', '') = 'license_present' THEN 'provider'
+    WHEN replace(rule, '_null', '') IN ('request_present', 'pickup_present', 'dropoff_present',
+      'request_not_after_pickup', 'pickup_before_dropoff') THEN 'timestamps'
+    WHEN replace(rule, '_null', '') IN ('pickup_zone_in_range', 'dropoff_zone_in_range') THEN 'zone'
+    WHEN replace(rule, '_null', '') IN ('trip_time_positive', 'duration_consistent') THEN 'duration'
+    WHEN replace(rule, '_null', '') LIKE '%_non_negative' THEN 'amounts' ELSE 'other' END AS reason_class,
+  CAST(count(*) AS BIGINT) AS n_rows
   FROM (SELECT unnest(string_split(failed_rules, ',')) AS rule FROM quarantine) t GROUP BY rule"""),
     "duration_mismatch": _q("""SELECT hvfhs_license_num, CAST(count(*) AS BIGINT) AS mismatched_rides,
   max(abs(trip_duration_sec - reported_duration_sec)) AS max_abs_diff_sec FROM silver

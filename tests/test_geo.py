@@ -79,3 +79,15 @@ def test_left_join_small_left_equals_left_join(spark):
     got = small and left_join_small_left(small, big, "k")
     assert sorted(tuple(r) for r in got.collect()) == want
     assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_h3_is_gated(spark):
+    from tripstar.functions.columns import h3_available, h3_cell
+
+    if h3_available():
+        df = spark.createDataFrame([(40.75, -73.99), (None, 1.0)], "lat DOUBLE, lon DOUBLE")
+        got = [r.c for r in df.select(h3_cell("lat", "lon", 9).alias("c")).collect()]
+        assert got[0] is not None and got[1] is None
+    else:
+        with pytest.raises(RuntimeError):
+            h3_cell("lat", "lon", 9)

@@ -127,3 +127,12 @@ def test_partition_glob_keeps_partition_columns(spark, tmp_dir):
     one_year = files.read_partition_glob(spark, root, "year=2024/*")
     assert {"year", "month", "day"} <= set(one_year.columns) and one_year.count() == 6
     assert files.read_partition_glob(spark, root, "year=2024/month=2/*").select(F.max("month")).first()[0] == 2
+
+
+def test_notebook_csv_readers(spark, tmp_dir):
+    p = f"{tmp_dir}/centroids.csv"
+    with open(p, "w") as f:
+        f.write("LocationID,lat,lon\n1,40.69,-74.17\n2,,\n")
+    got = sorted(tuple(r) for r in files.read_zone_centroids_csv(spark, p).collect())
+    assert got == [(1, 40.69, -74.17), (2, None, None)]
+    assert files.read_csv_as_strings(spark, p).schema.simpleString() == "struct<LocationID:string,lat:string,lon:string>"

@@ -12,6 +12,11 @@ def test_run_pipeline_end_to_end(spark, tmp_dir):
     testdata.bronze_rides(spark, SF_SMALL).write.parquet(paths.bronze_rides)
     build_reference(spark, paths, inp.lookup, inp.geometry)
     res = run_pipeline(spark, paths, database="lake_e2e")
+    from tripstar.plans.pipeline import run_bronze_to_silver
+    geo = run_bronze_to_silver(spark, paths, enrich_geo=True)
+    assert geo["silver_geo_rows"] == 5557
+    enriched = spark.read.parquet(paths.silver_rides_geo)
+    assert {"start_lat", "end_geo_hash"} <= set(enriched.columns)
     c = res.counts
     assert c["silver_rows"] == 5557 and c["fact_rides"] == 5557
     assert c["quarantine_rows"] == 6309 - 5837

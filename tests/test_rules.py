@@ -77,8 +77,11 @@ def test_boundaries_and_nan(spark):
 def test_reason_counts(spark):
     rows = [ride(tips=-1.0), ride(tips=-2.0, tolls=-1.0), ride(airport_fee=None)]
     q = R.quarantine_rows(prepare(bronze_df(spark, rows)))
-    got = {r["rule"]: r["n_rows"] for r in R.reason_counts(q).collect()}
-    assert got == {"tips_non_negative": 2, "tolls_non_negative": 1, "airport_fee_non_negative_null": 1}
+    got = {r["rule"]: (r["reason_class"], r["n_rows"]) for r in R.reason_counts(q).collect()}
+    assert got == {"tips_non_negative": ("amounts", 2), "tolls_non_negative": ("amounts", 1),
+                   "airport_fee_non_negative_null": ("amounts", 1)}
+    assert R.reason_class("pickup_zone_in_range_null") == "zone"
+    assert R.reason_class("request_not_after_pickup") == "timestamps"
 
 
 def test_valid_filter_reaches_parquet_scan(spark, tmp_dir):

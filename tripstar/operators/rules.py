@@ -16,6 +16,22 @@ from pyspark.sql import functions as F
 
 QUARANTINE_REASON = "failed_data_quality_validation"
 
+# Reason class of each rule (the quarantine classes of the layer design: provider,
+# bad timestamps, bad / unknown zone, bad duration, negative amounts). ``<rule>_null`` keeps the
+# class of its rule.
+RULE_CLASSES = {
+    "license_present": "provider",
+    "request_present": "timestamps",
+    "pickup_present": "timestamps",
+    "dropoff_present": "timestamps",
+    "request_not_after_pickup": "timestamps",
+    "pickup_before_dropoff": "timestamps",
+    "pickup_zone_in_range": "zone",
+    "dropoff_zone_in_range": "zone",
+    "trip_time_positive": "duration",
+    "duration_consistent": "duration",
+}
+
 Rule = tuple[str, Column]
 
 # Fee columns that must be >= 0.
@@ -50,6 +66,11 @@ def duration_rule(tolerance_sec: int) -> Rule:
             F.abs(F.col("trip_duration_sec") - F.col("reported_duration_sec")) <= tolerance_sec)
 
 
+def reason_class(rule_name: str) -> str:
+    base = rule_name[:-5] if rule_name.endswith("_null") else rule_name
+    return RULE_CLASSES.get(base, "amounts" if base.endswith("_non_negative") else "other")
+
+
 def validity(rules: list[Rule]) -> Column:
     """Three-valued conjunction of all rules (TRUE / FALSE / NULL)."""
     return reduce(lambda a, b: a & b, (pred for _, pred in rules))
@@ -111,11 +132,13 @@ def split(df: DataFrame, rules: list[Rule] | None = None, on_null: str = "quaran
 
 
 def reason_counts(quarantine: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
-    """Quarantined rows per failed rule (a row failing k rules counts once for each).
+    """Quarantined rows per failed rule, with the rule's reason class (a row failing k rules
+    counts once for each).
 
     One aggregate row with a ``count_if`` per rule flag (partial aggregation, no explode of rows),
     unpivoted with ``stack``; rules no row failed are left out."""
     flags = _rule_flags(rules or ride_rules())
     one = quarantine.agg(*[F.count_if(flag).alias(f"f{i}") for i, (_, flag) in enumerate(flags)])
-    pairs = ", ".join(f"'{name}', f{i}" for i, (name, _) in enumerate(flags))
-    return one.selectExpr(f"stack({len(flags)}, {pairs}) AS (rule, n_rows)").filter("n_rows > 0")
+    triples = ", ".join(f"'{name}', '{reason_class(name)}', f{i}" for i, (name, _) in enumerate(flags))
+    return (one.selectExpr(f"stack({len(flags)}, {triples}) AS (rule, reason_class, n_rows)")
+            .filter("n_rows > 0"))

@@ -31,6 +31,10 @@ class LakePaths:
     def silver_rides(self) -> str:
         return self._p("silver", "rides")
 
+    @property
+    def silver_rides_geo(self) -> str:
+        return self._p("silver", "rides_geo")
+
     @property
     def quarantine_rides(self) -> str:
         return self._p("quarantine", "rides")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tripstar import schemas
 from tripstar.operators import gold as G
-from tripstar.operators.geo import DEFAULT_CELL_LEVEL, build_zone_reference
+from tripstar.operators.geo import DEFAULT_CELL_LEVEL, build_zone_reference, enrich_pickup_dropoff
 from tripstar.paths import LakePaths
 from tripstar.plans.gold import GoldTables, publish_gold
 from tripstar.plans.publish import read_table, register_gold_tables, sync_partitions, write_table
@@ -41,7 +41,10 @@ def build_reference(spark: SparkSession, paths: LakePaths, zone_lookup: DataFram
 
 def run_bronze_to_silver(spark: SparkSession, paths: LakePaths, bronze: DataFrame | None = None,
                          on_null: str = "quarantine", id_mode: str = "monotonic",
-                         quarantine_mode: str = "overwrite", run_id: str | None = None) -> dict[str, int]:
+                         quarantine_mode: str = "overwrite", run_id: str | None = None,
+                         enrich_geo: bool = False) -> dict[str, int]:
+    """Silver and quarantine writes; with ``enrich_geo`` also silver rides with pickup / dropoff
+    coordinates and cells (from the published zone reference) at ``paths.silver_rides_geo``."""
     bronze = bronze if bronze is not None else read_bronze(spark, paths.bronze_rides, schemas.BRONZE_RIDES)
     res = bronze_to_silver(bronze, on_null=on_null, id_mode=id_mode)
     silver_obs, q_obs = Observation("silver"), Observation("quarantine")
@@ -51,7 +54,14 @@ def run_bronze_to_silver(spark: SparkSession, paths: LakePaths, bronze: DataFram
         quarantine = quarantine.withColumn("run_id", F.lit(run_id or "unspecified"))
     # Written on every run (even when empty), so a stale quarantine never outlives a clean run.
     write_table(quarantine, paths.quarantine_rides, mode=quarantine_mode, observation=q_obs)
-    return {"silver_rows": silver_obs.get["rows"], "quarantine_rows": q_obs.get["rows"]}
+    counts = {"silver_rows": silver_obs.get["rows"], "quarantine_rows": q_obs.get["rows"]}
+    if enrich_geo:
+        silver = read_table(spark, paths.silver_rides)
+        zones = read_zone_reference_csv(spark, paths.zone_reference)
+        geo_obs = Observation("silver_geo")
+        write_table(enrich_pickup_dropoff(silver, zones), paths.silver_rides_geo, observation=geo_obs)
+        counts["silver_geo_rows"] = geo_obs.get["rows"]
+    return counts
 
 
 def run_silver_to_gold(spark: SparkSession, paths: LakePaths, database: str | None = None,
@@ -71,6 +81,10 @@ def run_silver_to_gold(spark: SparkSession, paths: LakePaths, database: str | No
     if database:
         register_gold_tables(spark, database, paths.gold(""))
         sync_partitions(spark, f"{database}.fact_rides")
+        # Statistics let the planner size the dimensions (broadcast decisions) without scanning.
+        for dim in ("dim_date", "dim_zone"):
+            spark.sql(f"ANALYZE TABLE {database}.{dim} COMPUTE STATISTICS")
+        spark.sql(f"ANALYZE TABLE {database}.fact_rides COMPUTE STATISTICS NOSCAN")
     return counts
 
 

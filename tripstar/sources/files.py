@@ -63,3 +63,23 @@ def read_zone_lookup_csv(spark: SparkSession, path: str) -> DataFrame:
 def write_text_lines(df: DataFrame, column: str, path: str) -> None:
     """One line per row of a single string column."""
     df.select(column).write.mode("overwrite").text(path)
+
+
+def read_csv_as_strings(spark: SparkSession, path: str) -> DataFrame:
+    """Header CSV with every column as text (exploration / landing checks)."""
+    return spark.read.option("header", True).csv(path)
+
+
+# Zone centroid table of the enrichment variant: id and point, no geometry.
+ZONE_CENTROIDS = T.StructType([
+    T.StructField("LocationID", T.IntegerType()),
+    T.StructField("lat", T.DoubleType()),
+    T.StructField("lon", T.DoubleType()),
+])
+
+
+def read_zone_centroids_csv(spark: SparkSession, path: str) -> DataFrame:
+    """``LocationID, lat, lon`` CSV -> ``location_id, centroid_lat, centroid_lon`` through a
+    declared schema (no inference pass over the file)."""
+    df = _csv(spark, ZONE_CENTROIDS).csv(path)
+    return df.withColumnsRenamed({"LocationID": "location_id", "lat": "centroid_lat", "lon": "centroid_lon"})
