@@ -3,8 +3,8 @@
 A plain ``limit(n)`` funnels every row through one task (``GlobalLimit`` behind a single-
 partition exchange), so everything after it runs serially. :func:`cap_rows` keeps the same
 number of rows without that funnel: one small job counts rows per input partition, the driver
-turns the (one-number-per-partition) counts into per-partition quotas, and a filter on the row's
-position inside its partition applies them -- still fully parallel.
+finds the boundary partition from the prefix sums, and a filter on the partition id and the row's
+position inside its partition keeps the rest -- still fully parallel.
 """
 
 from __future__ import annotations
@@ -20,8 +20,10 @@ _POS_MASK = (1 << 33) - 1  # low 33 bits of monotonically_increasing_id = positi
 
 
 def cap_rows(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """At most ``max_rows`` rows (the first ones of the first partitions). Use directly over a
-    scan: the input's partitioning must be the same in the counting job and the final job."""
+    """At most ``max_rows`` rows: all rows of the first partitions and a prefix of one boundary
+    partition. Use directly over a scan: the input's partitioning and row order must be the same
+    in the counting job and the final job (true for file scans). The driver receives one count
+    per input partition; the filter itself is two comparisons per row."""
     if max_rows is None:
         return df
     counts = sorted(
@@ -30,14 +32,15 @@ def cap_rows(df: DataFrame, max_rows: int | None) -> DataFrame:
     )
     if sum(n for _, n in counts) <= max_rows:
         return df
-    quotas, left = {}, max_rows
+    boundary, rest = -1, max_rows
     for p, n in counts:
-        quotas[p] = min(n, left)
-        left -= quotas[p]
-    kept = [(p, q) for p, q in quotas.items() if q > 0]
-    quota = F.create_map(*[F.lit(x) for pq in kept for x in pq])
+        if n > rest:
+            boundary = p
+            break
+        rest -= n
+    pid = F.spark_partition_id()
     pos = F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))
-    return df.filter(pos < F.coalesce(F.element_at(quota, F.spark_partition_id()), F.lit(0)))
+    return df.filter((pid < boundary) | ((pid == boundary) & (pos < rest)))
 
 
 def preview(df: DataFrame, order_by: Sequence[str], n: int = 50) -> DataFrame:

@@ -90,22 +90,28 @@ def rides_by_weekday_flag(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def fact_orphan_keys(fact: DataFrame, dim_date: DataFrame, dim_zone: DataFrame) -> DataFrame:
     """Foreign-key integrity: per foreign key, the fact rows and distinct keys with no
-    dimension row. Keys are aggregated first, so the anti joins see a few thousand rows."""
-    zones = broadcast_if_small(dim_zone.select("location_id").distinct())
-    dates = broadcast_if_small(dim_date.select("date_key").distinct())
-
-    def orphans(fk: str, dim: DataFrame, dim_key: str) -> DataFrame:
-        per_key = fact.groupBy(fk).agg(F.count(F.lit(1)).alias("n"))
-        missing = per_key.join(dim, per_key[fk] == dim[dim_key], "left_anti")
-        return missing.agg(
-            F.lit(fk).alias("foreign_key"),
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_rows"),
-            F.count(F.lit(1)).alias("orphan_keys"),
-        )
-
-    return (orphans("date_key", dates, "date_key")
-            .unionByName(orphans("pu_location_id", zones, "location_id"))
-            .unionByName(orphans("do_location_id", zones, "location_id")))
+    dimension row.
+
+    One linear plan over one scan of the fact table: each row emits its three (foreign key,
+    value) pairs, a partial aggregate counts rows per pair (a few thousand groups), and one left
+    join against the broadcast union of all dimension keys marks the pairs that resolve."""
+    fks = ("date_key", "pu_location_id", "do_location_id")
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(fk).alias("foreign_key"), F.col(fk).cast("bigint").alias("_k")) for fk in fks]))
+    per_key = (fact.select(pairs.alias("e")).select("e.*")
+               .groupBy("foreign_key", "_k").agg(F.count(F.lit(1)).alias("n")))
+    date_keys = dim_date.select(F.lit("date_key").alias("foreign_key"), F.col("date_key").cast("bigint").alias("_k"))
+    zone_ids = dim_zone.select(F.col("location_id").cast("bigint").alias("_k"))
+    dim_keys = (date_keys
+                .unionByName(zone_ids.select(F.lit("pu_location_id").alias("foreign_key"), "_k"))
+                .unionByName(zone_ids.select(F.lit("do_location_id").alias("foreign_key"), "_k"))
+                .distinct().withColumn("_hit", F.lit(True)))
+    marked = per_key.join(broadcast_if_small(dim_keys), ["foreign_key", "_k"], "left")
+    orphan = F.col("_hit").isNull()
+    return marked.groupBy("foreign_key").agg(
+        F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
+        F.count_if(orphan).alias("orphan_keys"),
+    )
 
 
 def agg_trips(fact: DataFrame, key: str) -> DataFrame:
@@ -113,6 +119,28 @@ def agg_trips(fact: DataFrame, key: str) -> DataFrame:
     return fact.groupBy(key).agg(*_ride_stats())
 
 
+# The four pre-aggregate tables and their group keys.
+PREAGGREGATES = {
+    "agg_trips_daily": "date_key",
+    "agg_trips_by_zone": "pu_location_id",
+    "agg_trips_by_hour": "pickup_hour",
+    "agg_trips_by_company": "hvfhs_license_num",
+}
+
+
+def all_preaggregates(fact: DataFrame) -> DataFrame:
+    """The four pre-aggregates in one scan of the fact table (grouping sets), tagged with
+    ``agg_table``; the result has at most days + zones + 24 + providers rows."""
+    keys = list(PREAGGREGATES.values())
+    out = fact.groupingSets([[k] for k in keys], *keys).agg(F.grouping_id().alias("_g"), *_ride_stats())
+    n = len(keys)
+    tag = F.lit(None).cast("string")
+    for i, name in enumerate(PREAGGREGATES):
+        gid = sum(1 << (n - 1 - j) for j in range(n) if j != i)
+        tag = F.when(F.col("_g") == gid, F.lit(name)).otherwise(tag)
+    return out.withColumn("agg_table", tag).drop("_g")
+
+
 def agg_trips_daily(fact: DataFrame) -> DataFrame:
     return agg_trips(fact, "date_key")
 

@@ -17,7 +17,9 @@ from tripstar.operators import gold as G
 from tripstar.operators.geo import DEFAULT_CELL_LEVEL, build_zone_reference, enrich_pickup_dropoff
 from tripstar.paths import LakePaths
 from tripstar.plans.gold import GoldTables, publish_gold
-from tripstar.plans.publish import read_table, register_gold_tables, sync_partitions, write_table
+from tripstar.plans.publish import (
+    publish_preaggregates, read_table, register_gold_tables, sync_partitions, write_table,
+)
 from tripstar.plans.silver import bronze_to_silver
 from tripstar.sources.files import read_bronze, read_zone_reference_csv, write_zone_reference_csv
 
@@ -70,6 +72,7 @@ def run_silver_to_gold(spark: SparkSession, paths: LakePaths, database: str | No
     zones = read_zone_reference_csv(spark, paths.zone_reference)
     gold = GoldTables(G.fact_rides(silver), G.dim_date(silver), G.dim_zone(zones))
     counts = publish_gold(gold, paths.gold(""), dynamic_overwrite=dynamic_overwrite)
+    counts.update(publish_preaggregates(read_table(spark, paths.gold("fact_rides")), paths.gold("")))
     if dynamic_overwrite:
         # Other months stay in the fact table, so the date dimension is rebuilt from all of it
         # (the partition columns alone identify each date).

@@ -70,3 +70,23 @@ def register_gold_tables(spark: SparkSession, database: str, gold_root: str) ->
 def sync_partitions(spark: SparkSession, table: str) -> None:
     """Reconcile the catalog's partition list with the directories (adds new, drops vanished)."""
     spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+
+
+def publish_preaggregates(fact: DataFrame, gold_root: str) -> dict[str, int]:
+    """Write ``agg_trips_daily / _by_zone / _by_hour / _by_company`` from one scan of the fact.
+
+    The combined aggregate is tiny (bounded by days + zones + hours + providers), so it is
+    checkpointed once to the shared checkpoint directory and each table is a filter of it."""
+    from tripstar.operators.metrics import PREAGGREGATES, all_preaggregates
+    from tripstar.paths import checkpoint_root
+
+    checkpoint_root(fact.sparkSession)
+    combined = all_preaggregates(fact).checkpoint(eager=True)
+    counts = {}
+    for name, key in PREAGGREGATES.items():
+        obs = Observation(name)
+        table = combined.filter(F.col("agg_table") == name).select(
+            key, "rides", "total_distance", "avg_distance", "avg_duration_sec")
+        write_table(table.coalesce(1), f"{gold_root.rstrip('/')}/{name}", observation=obs)
+        counts[name] = obs.get["rows"]
+    return counts
