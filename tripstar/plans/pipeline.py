@@ -42,11 +42,16 @@ def build_reference(spark: SparkSession, paths: LakePaths, zone_lookup: DataFram
 
 
 def run_bronze_to_silver(spark: SparkSession, paths: LakePaths, bronze: DataFrame | None = None,
-                         on_null: str = "quarantine", id_mode: str = "monotonic",
+                         on_null: str = "quarantine", id_mode: str | None = None,
                          quarantine_mode: str = "overwrite", run_id: str | None = None,
-                         enrich_geo: bool = False) -> dict[str, int]:
+                         enrich_geo: bool = False, incremental: bool = False) -> dict[str, int]:
     """Silver and quarantine writes; with ``enrich_geo`` also silver rides with pickup / dropoff
-    coordinates and cells (from the published zone reference) at ``paths.silver_rides_geo``."""
+    coordinates and cells (from the published zone reference) at ``paths.silver_rides_geo``.
+
+    ``id_mode`` defaults to ``monotonic`` (exactly unique within a run) for a full rebuild and to
+    ``hash`` when ``incremental`` (one month per run): numbering restarts every run, so only a
+    key-derived id stays unique across the months accumulated in the fact table."""
+    id_mode = id_mode or ("hash" if incremental else "monotonic")
     bronze = bronze if bronze is not None else read_bronze(spark, paths.bronze_rides, schemas.BRONZE_RIDES)
     res = bronze_to_silver(bronze, on_null=on_null, id_mode=id_mode)
     silver_obs, q_obs = Observation("silver"), Observation("quarantine")
@@ -92,10 +97,19 @@ def run_silver_to_gold(spark: SparkSession, paths: LakePaths, database: str | No
 
 
 def run_pipeline(spark: SparkSession, paths: LakePaths, bronze: DataFrame | None = None,
-                 database: str | None = None, on_null: str = "quarantine", id_mode: str = "monotonic",
-                 dynamic_overwrite: bool = False) -> PipelineResult:
+                 database: str | None = None, on_null: str = "quarantine", id_mode: str | None = None,
+                 month: tuple[int, int] | None = None) -> PipelineResult:
     """Bronze -> silver -> gold (-> catalog). The zone reference must exist at
-    ``paths.zone_reference`` (see :func:`build_reference`)."""
-    counts = run_bronze_to_silver(spark, paths, bronze, on_null=on_null, id_mode=id_mode)
+    ``paths.zone_reference`` (see :func:`build_reference`).
+
+    ``month=(year, month)`` runs one incremental month: the bronze scan is restricted to that
+    month (range predicate on the pickup time, pushed to the scan) and only the fact partitions
+    of that month are replaced (dynamic overwrite); ids default to the key hash."""
+    if month is not None:
+        bronze = bronze if bronze is not None else read_bronze(spark, paths.bronze_rides, schemas.BRONZE_RIDES)
+        bronze = month_filter(bronze, *month)
+    counts = run_bronze_to_silver(spark, paths, bronze, on_null=on_null, id_mode=id_mode,
+                                  incremental=month is not None)
+    dynamic_overwrite = month is not None
     counts.update(run_silver_to_gold(spark, paths, database, dynamic_overwrite))
     return PipelineResult(counts)
