@@ -129,7 +129,7 @@ def test_partition_glob_keeps_partition_columns(spark, tmp_dir):
     assert files.read_partition_glob(spark, root, "year=2024/month=2/*").select(F.max("month")).first()[0] == 2
 
 
-def test_notebook_csv_readers(spark, tmp_dir):
+def test_text_and_centroid_csv_readers(spark, tmp_dir):
     p = f"{tmp_dir}/centroids.csv"
     with open(p, "w") as f:
         f.write("LocationID,lat,lon\n1,40.69,-74.17\n2,,\n")

@@ -62,23 +62,24 @@ def _zero() -> Column:
 
 def _ring_moments(ring: Column, is_outer: Column) -> Column:
     """Shoelace moments of one closed ring: ``struct(a2, mx, my)`` with ``a2`` twice the signed
-    area and ``mx``/``my`` = ``a2`` * centroid. Coordinates are taken relative to the ring's
-    first point to avoid cancellation. Outer rings count positive and holes negative whatever
-    their winding direction."""
+    area and ``mx``/``my`` = ``a2`` * centroid. One ``aggregate`` over the edge indices (no
+    intermediate arrays); coordinates are taken relative to the ring's first point to avoid
+    cancellation. Outer rings count positive and holes negative whatever their winding."""
     ox, oy = ring[0][0], ring[0][1]
-    n = F.greatest(F.size(ring) - 1, F.lit(0))
-    pairs = F.zip_with(F.slice(ring, 1, n), F.slice(ring, 2, n), lambda p, q: F.struct(
-        (p[0] - ox).alias("x1"), (p[1] - oy).alias("y1"), (q[0] - ox).alias("x2"), (q[1] - oy).alias("y2")))
+    n = F.size(ring)
+    edges = F.when(n >= 2, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
 
-    def step(acc: Column, t: Column) -> Column:
-        c = t.x1 * t.y2 - t.x2 * t.y1
+    def step(acc: Column, i: Column) -> Column:
+        p, q = ring[i], ring[i + 1]
+        x1, y1, x2, y2 = p[0] - ox, p[1] - oy, q[0] - ox, q[1] - oy
+        c = x1 * y2 - x2 * y1
         return F.struct(
             (acc.a2 + c).alias("a2"),
-            (acc.mx + (t.x1 + t.x2) * c).alias("mx"),
-            (acc.my + (t.y1 + t.y2) * c).alias("my"),
+            (acc.mx + (x1 + x2) * c).alias("mx"),
+            (acc.my + (y1 + y2) * c).alias("my"),
         )
 
-    local = F.aggregate(pairs, _zero(), step)
+    local = F.aggregate(edges, _zero(), step)
     sign = F.signum(local.a2) * F.when(is_outer, F.lit(1.0)).otherwise(F.lit(-1.0))
     return F.struct(
         (sign * local.a2).alias("a2"),

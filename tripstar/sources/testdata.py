@@ -126,16 +126,17 @@ def _deg(milli: Column) -> Column:
     return (milli.cast("decimal(12,0)") / 1000).cast("decimal(10,3)").cast("string")
 
 
-def _ring(points: list[tuple[Column, Column]]) -> Column:
+def _ring(points: list[tuple[str, str]]) -> Column:
+    """GeoJSON ring text from columns that already hold the coordinate texts."""
     parts: list[Column] = [F.lit("[")]
     for i, (x, y) in enumerate(points):
-        parts += [F.lit("," if i else ""), F.lit("["), _deg(x), F.lit(","), _deg(y), F.lit("]")]
+        parts += [F.lit(",[" if i else "["), F.col(x), F.lit(","), F.col(y), F.lit("]")]
     parts.append(F.lit("]"))
     return F.concat(*parts)
 
 
-def _square(x0: Column, y0: Column, s: Column, clockwise: Column) -> Column:
-    ccw = [(x0, y0), (x0 + s, y0), (x0 + s, y0 + s), (x0, y0 + s), (x0, y0)]
+def _square(x0: str, y0: str, x1: str, y1: str, clockwise: Column) -> Column:
+    ccw = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
     return F.when(clockwise, _ring(ccw[::-1])).otherwise(_ring(ccw))
 
 
@@ -155,10 +156,18 @@ def zone_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 10).alias("shape"),
         (k % 4 == 1).alias("cw"),
     ).filter(~F.col("location_id").isin(*IDS_WITHOUT_GEOMETRY))
-    x0, y0, h, cw = F.col("x0"), F.col("y0"), F.col("h"), F.col("cw")
-    outer = _square(x0, y0, 4 * h, cw)
-    second = _square(x0 + 100, y0, 4 * h, cw)
-    hole = _square(x0 + h, y0 + h, h, ~cw)
+    # coordinate texts are computed once per row as columns; the rings only concatenate them
+    x0, y0, h = F.col("x0"), F.col("y0"), F.col("h")
+    p = p.select("location_id", "shape", "cw", *[_deg(v).alias(n) for n, v in (
+        ("ax", x0), ("bx", x0 + 4 * h), ("ay", y0), ("by", y0 + 4 * h),
+        ("sx", x0 + 100), ("tx", x0 + 100 + 4 * h),
+        ("hx", x0 + h), ("ix", x0 + 2 * h), ("hy", y0 + h), ("iy", y0 + 2 * h))])
+    cw = F.col("cw")
+    p = p.select("location_id", "shape",
+                 _square("ax", "ay", "bx", "by", cw).alias("outer"),
+                 _square("sx", "ay", "tx", "by", cw).alias("second"),
+                 _square("hx", "hy", "ix", "iy", ~cw).alias("hole"))
+    outer, second, hole = F.col("outer"), F.col("second"), F.col("hole")
     geojson = (
         F.when(F.col("shape") == 3,
                F.concat(F.lit('{"type": "MultiPolygon", "coordinates": [['), outer, F.lit("],["), second, F.lit("]]}")))
