@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # size-checked broadcasts checkpoint their (bounded) side; drop those files once unused
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
