@@ -77,7 +77,10 @@ def run_silver_to_gold(spark: SparkSession, paths: LakePaths, database: str | No
     zones = read_zone_reference_csv(spark, paths.zone_reference)
     gold = GoldTables(G.fact_rides(silver), G.dim_date(silver), G.dim_zone(zones))
     counts = publish_gold(gold, paths.gold(""), dynamic_overwrite=dynamic_overwrite)
-    counts.update(publish_preaggregates(read_table(spark, paths.gold("fact_rides")), paths.gold("")))
+    # Full rebuild: aggregate the fact plan over silver (same columns, no re-listing of the
+    # day partitions just written). Incremental: the published table holds the other months.
+    fact_for_aggs = read_table(spark, paths.gold("fact_rides")) if dynamic_overwrite else gold.fact_rides
+    counts.update(publish_preaggregates(fact_for_aggs, paths.gold("")))
     if dynamic_overwrite:
         # Other months stay in the fact table, so the date dimension is rebuilt from all of it
         # (the partition columns alone identify each date).
@@ -89,10 +92,11 @@ def run_silver_to_gold(spark: SparkSession, paths: LakePaths, database: str | No
     if database:
         register_gold_tables(spark, database, paths.gold(""))
         sync_partitions(spark, f"{database}.fact_rides")
-        # Statistics let the planner size the dimensions (broadcast decisions) without scanning.
+        # Statistics let the planner size the dimensions (broadcast decisions) without scanning;
+        # the fact table is always the streamed side, so its size is not computed (that would
+        # list every partition).
         for dim in ("dim_date", "dim_zone"):
             spark.sql(f"ANALYZE TABLE {database}.{dim} COMPUTE STATISTICS")
-        spark.sql(f"ANALYZE TABLE {database}.fact_rides COMPUTE STATISTICS NOSCAN")
     return counts
 
 
