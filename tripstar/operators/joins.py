@@ -12,14 +12,20 @@ from tripstar.paths import checkpoint_root
 MAX_BROADCAST_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, checkpoint: bool = True) -> DataFrame:
     """Mark ``df`` for broadcast only after checking it holds at most ``max_rows`` rows.
 
-    The first ``max_rows + 1`` rows are checkpointed (a bounded write to the shared
-    ``spark.checkpoint.dir``) and counted. Within the bound the checkpoint *is* the whole frame,
-    so the join broadcasts it without computing ``df`` a second time. Above the bound the
-    original frame is returned unmarked, so the planner (and AQE at runtime) choose a shuffle
-    join instead of shipping an unbounded table to every executor."""
+    ``checkpoint=True`` (for derived sides that are costly to compute): the first
+    ``max_rows + 1`` rows are checkpointed (a bounded write to the shared
+    ``spark.checkpoint.dir``) and counted; within the bound the checkpoint *is* the whole frame,
+    so the join broadcasts it without computing ``df`` again. ``checkpoint=False`` (for cheap
+    scans of published dimensions): a bounded ``limit(max_rows + 1).count()`` job checks the size
+    and the original plan is broadcast, so its filters stay visible to the optimizer (dynamic
+    partition pruning of a partitioned fact scan). Above the bound the frame is returned
+    unmarked, so the planner (and AQE at runtime) choose a shuffle join instead of shipping an
+    unbounded table to every executor."""
+    if not checkpoint:
+        return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
     checkpoint_root(df.sparkSession)
     head = df.limit(max_rows + 1).checkpoint(eager=True)
     return F.broadcast(head) if head.count() <= max_rows else df

@@ -14,6 +14,31 @@ from pyspark.sql import functions as F
 from tripstar.operators.joins import broadcast_if_small
 
 
+def for_dates(fact: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Restrict the fact table to pickup dates in ``[start, end]`` (ISO dates, both optional).
+
+    The range is stated on the partition columns (``make_date(year, month, day)``), so on the
+    published table it becomes a partition filter: only the matching day directories are listed
+    and read. (A predicate on ``date_key`` alone could not prune.)"""
+    d = F.make_date("year", "month", "day")
+    if start is not None:
+        fact = fact.filter(d >= F.lit(start).cast("date"))
+    if end is not None:
+        fact = fact.filter(d <= F.lit(end).cast("date"))
+    return fact
+
+
+def for_calendar_days(fact: DataFrame, days: DataFrame) -> DataFrame:
+    """Fact rows on the days selected from ``dim_date`` (e.g.
+    ``dim_date.filter("day_of_week IN ('Saturday', 'Sunday')")``).
+
+    A left-semi star join on the partition columns (``year, month, day``) rather than on
+    ``date_key``: a selective predicate (comparison / IN) on the dimension then drives dynamic
+    partition pruning of the fact scan -- only the selected days' files are read."""
+    keys = days.select("year", "month", "day").distinct()
+    return fact.join(broadcast_if_small(keys, checkpoint=False), ["year", "month", "day"], "left_semi")
+
+
 def _ride_stats() -> list:
     return [
         F.count(F.lit(1)).alias("rides"),
