@@ -59,3 +59,18 @@ def test_trip_id_modes(spark):
     assert len(set(m)) == 50
     with pytest.raises(ValueError):
         add_trip_id(df, "bogus")
+
+
+def test_shuffle_partition_sizing(spark, tmp_dir):
+    from tripstar.session import MAX_SHUFFLE_PARTITIONS, ensure_shuffle_partitions, input_bytes
+
+    spark.range(1000).write.parquet(f"{tmp_dir}/x")
+    assert input_bytes(spark, f"{tmp_dir}/x") > 0 and input_bytes(spark, f"{tmp_dir}/missing") == 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert ensure_shuffle_partitions(spark, 10) == int(before)          # never lowers
+        assert ensure_shuffle_partitions(spark, 100 * 2**40) == MAX_SHUFFLE_PARTITIONS  # 100 TB, capped
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert ensure_shuffle_partitions(spark, 10 * 2**40) == 40960       # 10 TB -> 40960 x 512 MB
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

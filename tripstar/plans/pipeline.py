@@ -16,6 +16,7 @@ from tripstar import schemas
 from tripstar.operators import gold as G
 from tripstar.operators.geo import DEFAULT_CELL_LEVEL, build_zone_reference, enrich_pickup_dropoff
 from tripstar.paths import LakePaths
+from tripstar.session import ensure_shuffle_partitions, input_bytes
 from tripstar.plans.gold import GoldTables, publish_gold
 from tripstar.plans.publish import (
     publish_preaggregates, read_table, register_gold_tables, sync_partitions, write_table,
@@ -52,7 +53,10 @@ def run_bronze_to_silver(spark: SparkSession, paths: LakePaths, bronze: DataFram
     ``hash`` when ``incremental`` (one month per run): numbering restarts every run, so only a
     key-derived id stays unique across the months accumulated in the fact table."""
     id_mode = id_mode or ("hash" if incremental else "monotonic")
-    bronze = bronze if bronze is not None else read_bronze(spark, paths.bronze_rides, schemas.BRONZE_RIDES)
+    if bronze is None:
+        # the dedupe shuffles all of bronze: size the reduce side from the input before planning
+        ensure_shuffle_partitions(spark, input_bytes(spark, paths.bronze_rides))
+        bronze = read_bronze(spark, paths.bronze_rides, schemas.BRONZE_RIDES)
     res = bronze_to_silver(bronze, on_null=on_null, id_mode=id_mode)
     silver_obs, q_obs = Observation("silver"), Observation("quarantine")
     write_table(res.silver, paths.silver_rides, observation=silver_obs)
