@@ -39,6 +39,11 @@ def validated_silver(valid: DataFrame, id_mode: str = "monotonic") -> DataFrame:
     around 10^9.5 rows (expected colliding pairs n^2 / 2^65)."""
     std = derive_trip_columns(standardise_rides(valid.drop("trip_id")))
     deduped = dedupe(std, schemas.NATURAL_KEY)
+    if id_mode == "monotonic":
+        # Numbering follows row order, so pin it: the (unique) key order within each partition.
+        # Free when the dedupe ran as a sort aggregate (output already in key order); a real sort
+        # only if the planner chose a hash aggregate, whose order depends on shuffle fetch order.
+        deduped = deduped.sortWithinPartitions(*schemas.NATURAL_KEY)
     return add_trip_id(deduped, id_mode).select(*SILVER_COLUMNS)
 
 
