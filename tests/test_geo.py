@@ -91,3 +91,22 @@ def test_h3_is_gated(spark):
     else:
         with pytest.raises(RuntimeError):
             h3_cell("lat", "lon", 9)
+
+
+def test_broadcast_only_within_bound(spark):
+    from tripstar.operators.joins import broadcast_if_small
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # isolate the explicit decision
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        big = spark.range(5000).withColumnRenamed("id", "k")
+        small = spark.range(50).withColumnRenamed("id", "k")
+        for checkpoint in (True, False):
+            within = big.join(broadcast_if_small(small, max_rows=100, checkpoint=checkpoint), "k")
+            beyond = big.join(broadcast_if_small(big.select("k"), max_rows=100, checkpoint=checkpoint), "k")
+            assert "BroadcastHashJoin" in within._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" not in beyond._jdf.queryExecution().executedPlan().toString()
+            assert within.count() == 50 and beyond.count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
