@@ -64,3 +64,30 @@ def test_partitioned_write_rebalances(spark, tmp_dir):
     assert "RebalancePartitions" in df._jdf.queryExecution().optimizedPlan().toString()
     write_table(inp.fact.filter("year = 1995 AND month = 1"), f"{tmp_dir}/f", schemas.FACT_PARTITION_COLUMNS)
     assert spark.read.parquet(f"{tmp_dir}/f").count() > 0
+
+
+def test_hot_day_is_split_across_writer_tasks(spark, tmp_dir):
+    """A day holding a third of all rows is written by several tasks (AQE splits the skewed
+    rebalance partition), not by one task that would hold the whole hot day."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tripstar.plans.publish import write_table
+
+    base = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise((F.col("id") % 28 + 2)).alias("day"),
+        F.lit(2024).alias("year"), F.lit(1).alias("month"), F.col("id").alias("v"),
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        write_table(base, f"{tmp_dir}/w", ("year", "month", "day"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    import pyarrow.parquet as pq
+
+    hot_dir = f"{tmp_dir}/w/year=2024/month=1/day=1"
+    rows = [pq.ParquetFile(f"{hot_dir}/{f}").metadata.num_rows for f in os.listdir(hot_dir) if f.endswith(".parquet")]
+    assert sum(rows) == 10000
+    assert len(rows) > 1 and max(rows) <= sum(rows) / 2  # no single task wrote the hot day
+    assert spark.read.parquet(f"{tmp_dir}/w").count() == 30000
