@@ -16,3 +16,11 @@ def test_each_file_lands_once(spark, tmp_dir):
     out = spark.read.parquet(bronze)
     assert sorted(r.tips for r in out.collect()) == [1.0, 2.0, 3.0]
     assert out.select("source_file").distinct().count() == 2
+
+
+def test_many_small_batches_are_all_counted(spark, tmp_dir):
+    landing, bronze, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/bronze", f"{tmp_dir}/ckpt"
+    for i in range(5):
+        bronze_df(spark, [ride(tips=float(i))] * 3).coalesce(1).write.parquet(f"{landing}/f{i}")
+    n = land_new_files(spark, f"{landing}/*", bronze, ckpt, schemas.BRONZE_RIDES, max_files_per_trigger=1)
+    assert n == 15 and spark.read.parquet(bronze).count() == 15
