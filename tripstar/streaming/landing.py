@@ -51,7 +51,7 @@ def land_new_files(spark: SparkSession, landing_dir: str, bronze_dir: str, check
                  .option("checkpointLocation", checkpoint_dir).outputMode("append")
                  .trigger(availableNow=True).start())
         query.awaitTermination()
-        # listener events are delivered asynchronously: wait (bounded) for the final batch's
+        # listener events arrive asynchronously: wait (bounded) until the final batch's has come
         last = query.lastProgress
         qid = str(query.id)
         if last is not None:
