@@ -85,3 +85,13 @@ def test_run_pipeline_one_month(spark, tmp_dir):
     run_pipeline(spark, paths, month=(2024, 3))
     fact = spark.read.parquet(paths.gold("fact_rides"))
     assert sorted(r.month for r in fact.collect()) == [2, 3]
+
+
+def test_bronze_cap(spark, tmp_dir):
+    from tripstar.plans.pipeline import run_bronze_to_silver
+
+    paths = LakePaths(tmp_dir)
+    testdata.bronze_rides(spark, SF_SMALL).repartition(4).write.parquet(paths.bronze_rides)
+    c = run_bronze_to_silver(spark, paths, max_rows=1000)
+    assert c["silver_rows"] + c["quarantine_rows"] <= 1000
+    assert spark.read.parquet(paths.quarantine_rides).count() == c["quarantine_rows"]

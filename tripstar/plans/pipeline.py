@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tripstar import schemas
 from tripstar.operators import gold as G
 from tripstar.operators.geo import DEFAULT_CELL_LEVEL, build_zone_reference, enrich_pickup_dropoff
+from tripstar.operators.limits import cap_rows
 from tripstar.paths import LakePaths
 from tripstar.session import ensure_shuffle_partitions, input_bytes
 from tripstar.plans.gold import GoldTables, publish_gold
@@ -45,18 +46,23 @@ def build_reference(spark: SparkSession, paths: LakePaths, zone_lookup: DataFram
 def run_bronze_to_silver(spark: SparkSession, paths: LakePaths, bronze: DataFrame | None = None,
                          on_null: str = "quarantine", id_mode: str | None = None,
                          quarantine_mode: str = "overwrite", run_id: str | None = None,
-                         enrich_geo: bool = False, incremental: bool = False) -> dict[str, int]:
+                         enrich_geo: bool = False, incremental: bool = False,
+                         max_rows: int | None = None) -> dict[str, int]:
     """Silver and quarantine writes; with ``enrich_geo`` also silver rides with pickup / dropoff
     coordinates and cells (from the published zone reference) at ``paths.silver_rides_geo``.
 
     ``id_mode`` defaults to ``monotonic`` (exactly unique within a run) for a full rebuild and to
     ``hash`` when ``incremental`` (one month per run): numbering restarts every run, so only a
-    key-derived id stays unique across the months accumulated in the fact table."""
+    key-derived id stays unique across the months accumulated in the fact table. ``max_rows``
+    caps the bronze input exactly and in parallel (:func:`~tripstar.operators.limits.cap_rows`,
+    applied directly over the scan); off by default."""
     id_mode = id_mode or ("hash" if incremental else "monotonic")
     if bronze is None:
         # the dedupe shuffles all of bronze: size the reduce side from the input before planning
         ensure_shuffle_partitions(spark, input_bytes(spark, paths.bronze_rides))
         bronze = read_bronze(spark, paths.bronze_rides, schemas.BRONZE_RIDES)
+    if max_rows is not None:
+        bronze = cap_rows(bronze, max_rows)
     res = bronze_to_silver(bronze, on_null=on_null, id_mode=id_mode)
     silver_obs, q_obs = Observation("silver"), Observation("quarantine")
     write_table(res.silver, paths.silver_rides, observation=silver_obs)
@@ -106,7 +112,7 @@ def run_silver_to_gold(spark: SparkSession, paths: LakePaths, database: str | No
 
 def run_pipeline(spark: SparkSession, paths: LakePaths, bronze: DataFrame | None = None,
                  database: str | None = None, on_null: str = "quarantine", id_mode: str | None = None,
-                 month: tuple[int, int] | None = None) -> PipelineResult:
+                 month: tuple[int, int] | None = None, max_rows: int | None = None) -> PipelineResult:
     """Bronze -> silver -> gold (-> catalog). The zone reference must exist at
     ``paths.zone_reference`` (see :func:`build_reference`).
 
@@ -117,7 +123,7 @@ def run_pipeline(spark: SparkSession, paths: LakePaths, bronze: DataFrame | None
         bronze = bronze if bronze is not None else read_bronze(spark, paths.bronze_rides, schemas.BRONZE_RIDES)
         bronze = month_filter(bronze, *month)
     counts = run_bronze_to_silver(spark, paths, bronze, on_null=on_null, id_mode=id_mode,
-                                  incremental=month is not None)
+                                  incremental=month is not None, max_rows=max_rows)
     dynamic_overwrite = month is not None
     counts.update(run_silver_to_gold(spark, paths, database, dynamic_overwrite))
     return PipelineResult(counts)
