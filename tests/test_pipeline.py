@@ -22,6 +22,14 @@ def test_run_pipeline_end_to_end(spark, tmp_dir):
     assert c["quarantine_rows"] == 6309 - 5837
     assert c["dim_date"] == 2244 and c["dim_zone"] == 200
     assert spark.table("lake_e2e.fact_rides").count() == 5557
+    from tripstar.plans.reports import register_report_views
+
+    views = register_report_views(spark, "lake_e2e")
+    assert len(views) == 13
+    assert spark.sql("SELECT sum(rides) AS n FROM rides_by_hour").first().n == 5557
+    assert spark.sql("SELECT total_rides FROM kpi_totals").first().total_rides == 5557
+    plan = spark.sql("SELECT * FROM rides_by_pickup_zone")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "ExistingRDD" not in plan  # no snapshot pinned
     silver = spark.read.parquet(paths.silver_rides)
     assert silver.columns == [f.name for f in schemas.SILVER_RIDES.fields + schemas.SILVER_DERIVED.fields]
     assert silver.select("trip_id").distinct().count() == 5557

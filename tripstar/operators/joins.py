@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +16,21 @@ from tripstar.paths import checkpoint_root
 MAX_BROADCAST_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, checkpoint: bool = True) -> DataFrame:
+_CHECKPOINT_DEFAULT: contextvars.ContextVar[bool] = contextvars.ContextVar("checkpoint_broadcasts", default=True)
+
+
+@contextlib.contextmanager
+def plan_visible_broadcasts() -> Iterator[None]:
+    """Within the block, size-checked broadcasts keep the original plan instead of a checkpoint
+    (for long-lived views over published tables, which must see later data)."""
+    token = _CHECKPOINT_DEFAULT.set(False)
+    try:
+        yield
+    finally:
+        _CHECKPOINT_DEFAULT.reset(token)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, checkpoint: bool | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only after checking it holds at most ``max_rows`` rows.
 
     ``checkpoint=True`` (for derived sides that are costly to compute): the first
@@ -23,7 +41,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, checkp
     and the original plan is broadcast, so its filters stay visible to the optimizer (dynamic
     partition pruning of a partitioned fact scan). Above the bound the frame is returned
     unmarked, so the planner (and AQE at runtime) choose a shuffle join instead of shipping an
-    unbounded table to every executor."""
+    unbounded table to every executor. ``checkpoint=None`` takes the default of the context
+    (see :func:`plan_visible_broadcasts`)."""
+    if checkpoint is None:
+        checkpoint = _CHECKPOINT_DEFAULT.get()
     if not checkpoint:
         return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
     checkpoint_root(df.sparkSession)
