@@ -48,10 +48,16 @@ class LakePaths:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's shared checkpoint directory; set to a fresh local one only if unset."""
+    """The session's shared checkpoint directory.
+
+    If none is configured, a fresh local directory is used only in local mode (tests, a single
+    machine); on a cluster a machine-local folder would not survive an executor loss, so this
+    raises instead of guessing."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared location (e.g. an hdfs:// or s3a:// path)")
         current = tempfile.mkdtemp(prefix="tripstar-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
