@@ -91,3 +91,17 @@ def test_hot_day_is_split_across_writer_tasks(spark, tmp_dir):
     assert sum(rows) == 10000
     assert len(rows) > 1 and max(rows) <= sum(rows) / 2  # no single task wrote the hot day
     assert spark.read.parquet(f"{tmp_dir}/w").count() == 30000
+
+
+def test_fact_files_sorted_by_zone_within_day(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tripstar.plans.publish import write_table
+
+    inp = Inputs(spark, SF_SMALL)
+    write_table(inp.fact, f"{tmp_dir}/f", schemas.FACT_PARTITION_COLUMNS, sort_within=("pu_location_id",))
+    for path in glob.glob(f"{tmp_dir}/f/year=*/month=*/day=*/*.parquet")[:50]:
+        zones = pq.read_table(path, columns=["pu_location_id"]).column(0).to_pylist()
+        assert zones == sorted(zones)
