@@ -30,6 +30,10 @@ def test_run_pipeline_end_to_end(spark, tmp_dir):
     assert spark.sql("SELECT total_rides FROM kpi_totals").first().total_rides == 5557
     plan = spark.sql("SELECT * FROM rides_by_pickup_zone")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "ExistingRDD" not in plan  # no snapshot pinned
+    register_report_views(spark, "lake_e2e", prefix="q1_", start="1996-01-01", end="1996-03-31")
+    q1 = spark.sql("SELECT total_rides FROM q1_kpi_totals").first().total_rides
+    want = spark.table("lake_e2e.fact_rides").filter("date_key BETWEEN 19960101 AND 19960331").count()
+    assert q1 == want and 0 < q1 < 5557
     silver = spark.read.parquet(paths.silver_rides)
     assert silver.columns == [f.name for f in schemas.SILVER_RIDES.fields + schemas.SILVER_DERIVED.fields]
     assert silver.select("trip_id").distinct().count() == 5557

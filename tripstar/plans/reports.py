@@ -35,11 +35,15 @@ REPORTS: dict[str, Callable[[DataFrame, DataFrame, DataFrame], DataFrame]] = {
 }
 
 
-def register_report_views(spark: SparkSession, database: str, prefix: str = "") -> list[str]:
+def register_report_views(spark: SparkSession, database: str, prefix: str = "",
+                          start: str | None = None, end: str | None = None) -> list[str]:
     """Create or replace a temporary view per report (``<prefix><report>``) over the gold
-    tables of ``database``; returns the view names. Dimensions are size-checked without
-    checkpointing, so a view stays valid across data refreshes."""
+    tables of ``database``; returns the view names. ``start`` / ``end`` (ISO dates) scope every
+    view to a pickup-date range through partition filters, so only those day directories are
+    read. Dimensions are size-checked without checkpointing, so a view stays valid across data
+    refreshes."""
     fact, dim_date, dim_zone = gold_tables(spark, database)
+    fact = M.for_dates(fact, start, end)
     names = []
     with plan_visible_broadcasts():
         for name, build in REPORTS.items():
