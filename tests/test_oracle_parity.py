@@ -41,3 +41,13 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["pickup_hour", "rides"] and df.count() > 0
+
+
+def test_output_schemas_are_stable(spark):
+    """Registered output schemas (names and types) are pinned: the driver compares them."""
+    import json
+
+    golden = json.load(open(os.path.join(os.path.dirname(__file__), "golden_schemas.json")))
+    assert set(golden) == set(E.queries())
+    for name, fn in sorted(E.queries().items()):
+        assert fn(spark, SF_SMALL).schema.simpleString() == golden[name], name
