@@ -20,6 +20,7 @@ def test_run_pipeline_end_to_end(spark, tmp_dir):
     c = res.counts
     assert c["silver_rows"] == 5557 and c["fact_rides"] == 5557
     assert c["quarantine_rows"] == 6309 - 5837
+    assert (c["bronze_rows"], c["valid_rows"], c["failed_rows"], c["unknown_rows"]) == (6309, 5837, 176, 296)
     assert c["dim_date"] == 2244 and c["dim_zone"] == 200
     assert spark.table("lake_e2e.fact_rides").count() == 5557
     from tripstar.plans.reports import register_report_views

@@ -63,7 +63,8 @@ def run_bronze_to_silver(spark: SparkSession, paths: LakePaths, bronze: DataFram
         bronze = read_bronze(spark, paths.bronze_rides, schemas.BRONZE_RIDES)
     if max_rows is not None:
         bronze = cap_rows(bronze, max_rows)
-    res = bronze_to_silver(bronze, on_null=on_null, id_mode=id_mode)
+    in_obs = Observation("bronze_input")
+    res = bronze_to_silver(bronze, on_null=on_null, id_mode=id_mode, input_observation=in_obs)
     silver_obs, q_obs = Observation("silver"), Observation("quarantine")
     write_table(res.silver, paths.silver_rides, observation=silver_obs)
     quarantine = res.quarantine
@@ -71,7 +72,7 @@ def run_bronze_to_silver(spark: SparkSession, paths: LakePaths, bronze: DataFram
         quarantine = quarantine.withColumn("run_id", F.lit(run_id or "unspecified"))
     # Written on every run (even when empty), so a stale quarantine never outlives a clean run.
     write_table(quarantine, paths.quarantine_rides, mode=quarantine_mode, observation=q_obs)
-    counts = {"silver_rows": silver_obs.get["rows"], "quarantine_rows": q_obs.get["rows"]}
+    counts = {"silver_rows": silver_obs.get["rows"], "quarantine_rows": q_obs.get["rows"], **in_obs.get}
     if enrich_geo:
         silver = read_table(spark, paths.silver_rides)
         zones = read_zone_reference_csv(spark, paths.zone_reference)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tripstar import schemas
@@ -48,15 +48,25 @@ def validated_silver(valid: DataFrame, id_mode: str = "monotonic") -> DataFrame:
 
 
 def bronze_to_silver(bronze: DataFrame, on_null: str = "quarantine", id_mode: str = "monotonic",
-                     rules: list | None = None) -> SilverResult:
+                     rules: list | None = None, input_observation: Observation | None = None) -> SilverResult:
     """Lazy silver and quarantine frames of one bronze input.
 
     One shuffle in total (the dedupe, on the natural key). Quarantine rows keep their raw names
     (less the operational columns) and get a per-run ``trip_id`` assigned *after* the filter, so
-    the validity predicates still reach the scan."""
+    the validity predicates still reach the scan. ``input_observation`` is attached below the
+    quarantine filter, so the quarantine job -- which scans all of bronze anyway -- also yields
+    ``bronze_rows``, ``valid_rows``, ``failed_rows`` and ``unknown_rows`` without another pass."""
     rules = rules or R.ride_rules()
     prepared = prepare(bronze)
-    valid, quarantine = R.split(prepared, rules, on_null)
+    valid = R.valid_rows(prepared, rules)
+    q_input = prepared
+    if input_observation is not None:
+        cond = R.validity(rules)
+        q_input = prepared.observe(
+            input_observation,
+            F.count(F.lit(1)).alias("bronze_rows"), F.count_if(cond).alias("valid_rows"),
+            F.count_if(~cond).alias("failed_rows"), F.count_if(cond.isNull()).alias("unknown_rows"))
+    quarantine = R.quarantine_rows(q_input, rules, on_null)
     quarantine = quarantine.withColumn("trip_id", F.monotonically_increasing_id())
     return SilverResult(validated_silver(valid, id_mode), quarantine, prepared)
 
