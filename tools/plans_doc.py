@@ -65,6 +65,9 @@ def main() -> None:
         ("Silver: validate + standardise + derive + dedupe (bronze read from Parquet)", res.silver),
         ("Quarantine branch (map-only)", res.quarantine),
         ("Fact build from silver (map-only)", G.fact_rides(silver)),
+        ("Fact publish input: REBALANCE on the partition columns, sorted by zone within each day",
+         G.fact_rides(silver).hint("rebalance", *schemas.FACT_PARTITION_COLUMNS)
+         .sortWithinPartitions(*schemas.FACT_PARTITION_COLUMNS, "pu_location_id")),
         ("Rides by pickup zone (aggregate first, broadcast dimension)", M.rides_by_pickup_zone(fact, dz)),
         ("FK orphan check (one pass over the fact)", M.fact_orphan_keys(fact, dd, dz)),
         ("Weekend days only (dynamic partition pruning of the fact scan)",
