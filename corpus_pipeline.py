@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripstar.llm import packing, quality, registry, simhash
+from tripstar.llm import decontaminate, packing, quality, registry, secrets, simhash
 from tripstar.llm.common import materialise, table
 
 
@@ -23,6 +23,16 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.keep_one(docs)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts masked."""
+    return secrets.mask_secrets(docs)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of full training sequences, mixed by source."""
     return packing.pack(docs, registry.TOKENIZER)
@@ -31,6 +41,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality_rules", quality_stage),
     ("simhash_near_dedup", near_duplicate_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("secret_scans", secret_stage),
     ("packing", packing_stage),
 ]
 

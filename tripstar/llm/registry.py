@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tripstar.llm import packing, quality, shards, simhash
+from tripstar.llm import decontaminate, html_text, packing, quality, secrets, shards, simhash
 from tripstar.llm.common import table
 from tripstar.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -24,11 +24,24 @@ def op2_simhash_dedup(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_html_text(spark, sf_dir):
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+def op5_secret_scan(spark, sf_dir):
+    return secrets.scan_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
+
+
 def op8_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source")
 
 
+def op9_decontamination(spark, sf_dir):
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_sharding(spark, sf_dir):
     placed = shards.assign_shards(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -38,6 +51,9 @@ def op10_sharding(spark, sf_dir):
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op4_html_text": op4_html_text,
+    "op5_secret_scan": op5_secret_scan,
     "op8_packing": op8_packing,
+    "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
 }
