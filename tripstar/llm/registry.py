@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tripstar.llm import decontaminate, html_text, packing, quality, secrets, shards, simhash
+from tripstar.llm import decontaminate, html_text, packing, passages, quality, secrets, shards, simhash
 from tripstar.llm.common import table
 from tripstar.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -33,6 +33,11 @@ def op5_secret_scan(spark, sf_dir):
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
 
 
+def op7_repeated_passages(spark, sf_dir):
+    found = passages.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source")
@@ -53,6 +58,7 @@ QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op4_html_text": op4_html_text,
     "op5_secret_scan": op5_secret_scan,
+    "op7_repeated_passages": op7_repeated_passages,
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
