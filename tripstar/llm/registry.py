@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tripstar.llm import decontaminate, html_text, packing, passages, quality, secrets, shards, simhash
+from tripstar.llm import decontaminate, html_text, langid, packing, passages, quality, secrets, shards, simhash
 from tripstar.llm.common import table
 from tripstar.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -33,6 +33,14 @@ def op5_secret_scan(spark, sf_dir):
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
 
 
+def op6_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    # no remainder (a null id) is not held out and not learned from
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    return langid.identify(docs, rest != 2).select(
+        "doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "entropy", "rejected")
+
+
 def op7_repeated_passages(spark, sf_dir):
     found = passages.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -58,6 +66,7 @@ QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op4_html_text": op4_html_text,
     "op5_secret_scan": op5_secret_scan,
+    "op6_language_id": op6_language_id,
     "op7_repeated_passages": op7_repeated_passages,
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
