@@ -47,4 +47,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base
 """
 
-ORACLE_SQL = {"op1_quality_rules": _OP1}
+_OP3 = r"""
+WITH p AS (
+  SELECT page_id, url, nullif(regexp_replace(regexp_replace(
+    regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '\.+$', ''), '^www\.', ''), '') AS host FROM pages),
+captures AS (SELECT p.*, e.ts AS fetched FROM p LEFT JOIN events e ON e.event_id = p.page_id),
+entries AS (
+  SELECT list, pattern, since, min(is_on) AS is_on FROM (
+    SELECT CASE event_type WHEN 'error' THEN 'block' WHEN 'purchase' THEN 'block' WHEN 'signup' THEN 'allow' WHEN 'view' THEN 'allow' END AS list,
+      CASE WHEN event_type IN ('error', 'signup') THEN 1 ELSE 0 END AS is_on,
+      regexp_replace(regexp_replace(CASE WHEN user_id % 5 = 0 THEN regexp_replace(host, '^[^.]*\.', '') ELSE host END, '\.+$', ''), '^www\.', '') AS pattern,
+      ts AS since
+    FROM events JOIN p ON p.page_id = events.user_id)
+  WHERE list IS NOT NULL AND pattern <> '' AND since IS NOT NULL GROUP BY ALL),
+hosts AS (SELECT DISTINCT host, fetched, string_split(host, '.') AS parts FROM captures WHERE host IS NOT NULL AND fetched IS NOT NULL),
+parents AS (SELECT host, fetched, array_to_string(parts[i:], '.') AS pattern FROM hosts, unnest(range(1, len(parts) + 1)) t(i)),
+asked AS (SELECT parents.*, n.list FROM parents JOIN (SELECT DISTINCT list, pattern FROM entries) n USING (pattern)),
+active AS (
+  SELECT a.host, a.fetched, a.list, a.pattern, len(string_split(a.pattern, '.')) AS n
+  FROM asked a ASOF JOIN entries e ON a.list = e.list AND a.pattern = e.pattern AND a.fetched >= e.since WHERE e.is_on = 1),
+verdicts AS (
+  SELECT host, fetched, string_agg(DISTINCT list, ',' ORDER BY list) AS lists,
+    max({'n': n, 'p': pattern}) FILTER (list <> 'allow') AS block, max(n) FILTER (list = 'allow') AS allow_n
+  FROM active GROUP BY ALL)
+SELECT c.page_id, c.url, c.host, strftime(c.fetched, '%Y-%m-%d %H:%M:%S.%f') AS fetched_at, coalesce(v.lists, '') AS lists,
+  v.block.p AS pattern, coalesce(v.block IS NOT NULL AND (v.allow_n IS NULL OR v.allow_n < v.block.n), false) AS blocked
+FROM captures c LEFT JOIN verdicts v ON v.host = c.host AND v.fetched = c.fetched
+"""
+
+ORACLE_SQL = {"op3_url_lists": _OP3, "op1_quality_rules": _OP1}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tripstar.llm import decontaminate, html_text, langid, packing, passages, quality, secrets, shards, simhash
+from tripstar.llm import decontaminate, html_text, langid, packing, passages, quality, secrets, shards, simhash, url_lists
 from tripstar.llm.common import table
 from tripstar.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -24,6 +24,30 @@ def op2_simhash_dedup(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+# The list log of the tables: what an event does to the pattern of the page that its user id names.
+LIST_ACTIONS = {"error": ("block", "add"), "purchase": ("block", "remove"), "signup": ("allow", "add"), "view": ("allow", "remove")}
+
+
+def list_entries(events, pages):
+    """Dated list entries: the page's host, or its parent domain where the user id divides by five."""
+    named = pages.select(F.col("page_id").alias("user_id"), url_lists.host_of(F.col("url")).alias("host"))
+    kind, action = (F.create_map(*[F.lit(x) for k, v in LIST_ACTIONS.items() for x in (k, v[i])])[F.col("event_type")] for i in (0, 1))
+    parent = F.regexp_replace("host", r"^[^.]*\.", "")
+    return events.join(named, "user_id").select(
+        kind.alias("list"), F.when(F.col("user_id") % 5 == 0, parent).otherwise(F.col("host")).alias("pattern"),
+        action.alias("action"), F.col("ts").cast("timestamp").alias("since"))
+
+
+def op3_url_lists(spark, sf_dir):
+    """Every page, fetched at the moment of the event of its number, against the list log."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    moments = events.select(F.col("event_id").alias("page_id"), F.col("ts").cast("timestamp").alias("fetched_at"))
+    found = url_lists.filter_urls(pages.join(moments, "page_id", "left"), list_entries(events, pages))
+    return found.select("page_id", "url", "host", F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("fetched_at"),
+                        F.array_join("lists", ",").alias("lists"), "pattern", "blocked")
+
+
 def op4_html_text(spark, sf_dir):
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
@@ -64,6 +88,7 @@ def op10_sharding(spark, sf_dir):
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_url_lists": op3_url_lists,
     "op4_html_text": op4_html_text,
     "op5_secret_scan": op5_secret_scan,
     "op6_language_id": op6_language_id,
