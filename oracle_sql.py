@@ -78,6 +78,15 @@ def cell(lat: str, lon: str, level: int = CELL_LEVEL) -> str:
             f"CAST(least(CAST(floor(({lat} + 90.0) / 180.0 * {float(n)}) AS BIGINT), {n - 1}) AS VARCHAR)) END")
 
 
+_AMOUNTS = ("trip_miles", "base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge", "airport_fee",
+            "tips", "driver_pay")
+_BAD = {"request_datetime": [(1, "NULL")], "pickup_datetime": [(2, "NULL")], "dropoff_datetime": [(3, "NULL")],
+        "DOLocationID": [(4, "0"), (5, "NULL")], "PULocationID": [(6, "NULL")], "trip_time": [(7, "0"), (8, "NULL")],
+        **{c: [(10 + i, "-1.0E0"), (20 + i, "NULL")] for i, c in enumerate(_AMOUNTS)}}
+SPOIL = ", ".join(
+    "CASE " + " ".join(f"WHEN l_linenumber = 1 AND l_orderkey % 500 = {k} THEN {v}" for k, v in cases) + f" ELSE {c} END AS {c}"
+    for c, cases in _BAD.items())
+
 CTE = f"""
 WITH b AS (
   SELECT *, CAST((l_orderkey * 37 + l_linenumber * 3607) % 86400 AS INTEGER) AS off_s, CAST(l_quantity AS INTEGER) AS q
@@ -87,14 +96,14 @@ p AS (SELECT *, request_datetime + to_seconds(CASE WHEN l_linenumber = 7 AND q >
         AS pickup_datetime FROM r),
 d AS (SELECT *, pickup_datetime + to_seconds(CASE WHEN l_linenumber = 6 AND q = 1 THEN 0 ELSE q * 60 + l_linenumber END)
         AS dropoff_datetime, request_datetime + to_seconds(60) AS scene FROM p),
-bronze AS (SELECT
+clean AS (SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m') AS source_month,
   CASE WHEN l_suppkey % 50 = 49 THEN NULL ELSE concat('HV000', CAST(2 + l_suppkey % 4 AS VARCHAR)) END AS hvfhs_license_num,
   concat('B0', CAST(l_suppkey % 9 AS VARCHAR)) AS dispatching_base_num,
   concat('B0', CAST(l_suppkey % 7 AS VARCHAR)) AS originating_base_num,
   request_datetime, CASE WHEN l_returnflag = 'R' THEN NULL ELSE scene END AS on_scene_datetime,
   pickup_datetime, dropoff_datetime,
   CAST(l_partkey % 267 AS BIGINT) AS PULocationID, CAST(1 + l_suppkey % 265 AS BIGINT) AS DOLocationID,
-  q / 2.0E0 AS trip_miles, CAST(q * 60 AS BIGINT) AS trip_time,
+  (q * 50 + l_orderkey % 50) / 100.0E0 AS trip_miles, CAST(q * 60 AS BIGINT) AS trip_time,
   l_extendedprice AS base_passenger_fare, l_tax AS tolls, l_discount AS bcf, l_tax AS sales_tax,
   2.75E0 AS congestion_surcharge,
   CASE WHEN l_linenumber = 3 AND l_returnflag = 'A' THEN NULL ELSE 2.5E0 END AS airport_fee,
@@ -103,6 +112,8 @@ bronze AS (SELECT
   'N' AS shared_request_flag, 'N' AS shared_match_flag, ' ' AS access_a_ride_flag,
   'N' AS wav_request_flag, CASE WHEN l_linenumber = 1 THEN 'Y' ELSE 'N' END AS wav_match_flag
 FROM d),
+spoiled AS (SELECT * REPLACE ({SPOIL}) FROM clean),
+bronze AS (SELECT * EXCLUDE (l_orderkey, l_linenumber, source_month) FROM spoiled),
 prepared AS (SELECT hvfhs_license_num, request_datetime, coalesce(on_scene_datetime, request_datetime) AS on_scene_datetime,
   pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, trip_miles, trip_time, base_passenger_fare, tolls, bcf,
   sales_tax, congestion_surcharge, airport_fee, tips, driver_pay FROM bronze),
@@ -136,12 +147,14 @@ lookup AS (SELECT LocationID AS location_id, Borough AS borough, Zone AS zone_na
 geo_parts AS (SELECT CAST(1 + p_partkey % 265 AS INTEGER) AS location_id, -74250 + (p_partkey % 23) * 10 AS x0,
   40500 + (p_partkey % 31) * 10 AS y0, CASE WHEN p_partkey % 97 = 0 THEN 0 ELSE p_size END AS h,
   p_partkey % 10 AS shape, p_partkey % 4 = 1 AS cw
-  FROM part WHERE CAST(1 + p_partkey % 265 AS INTEGER) NOT IN (57, 264, 265)),
-geometry AS (SELECT location_id, {GEOJSON} AS polygon_geojson,
+  FROM part),
+geometry_all AS (SELECT location_id, {GEOJSON} AS polygon_geojson,
   CASE WHEN shape = 3 THEN 32.0 * h * h WHEN shape = 7 THEN 15.0 * h * h ELSE 16.0 * h * h END AS a_m,
   CASE WHEN shape = 3 THEN x0 + 2 * h + 50.0 WHEN shape = 7 THEN x0 + 61.0 * h / 30.0 ELSE x0 + 2.0 * h END AS cx_m,
   CASE WHEN shape = 7 THEN y0 + 61.0 * h / 30.0 ELSE y0 + 2.0 * h END AS cy_m
   FROM geo_parts),
+geometry AS (SELECT location_id, CASE WHEN location_id NOT IN (57, 264, 265) THEN polygon_geojson END AS polygon_geojson,
+  CASE WHEN location_id NOT IN (57, 264, 265) THEN a_m END AS a_m, cx_m, cy_m FROM geometry_all),
 geometry_c AS (SELECT location_id, polygon_geojson, a_m * 1e-6 AS area,
   CASE WHEN a_m > 0 THEN cy_m / 1000.0 END AS centroid_lat, CASE WHEN a_m > 0 THEN cx_m / 1000.0 END AS centroid_lon
   FROM geometry),
@@ -172,8 +185,10 @@ BRONZE_COLS = ("hvfhs_license_num, dispatching_base_num, originating_base_num, r
                "pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, trip_miles, trip_time, "
                "base_passenger_fare, tolls, bcf, sales_tax, congestion_surcharge, airport_fee, tips, driver_pay, "
                "shared_request_flag, shared_match_flag, access_a_ride_flag, wav_request_flag, wav_match_flag")
-STATS = ("count(*) AS rides, sum(distance) AS total_distance, avg(distance) AS avg_distance, "
-         "avg(trip_duration_sec) AS avg_duration_sec")
+_TOTAL = "CAST(sum(CAST(distance AS DECIMAL(18,6))) AS DOUBLE)"
+TOTALS = (f"{_TOTAL} AS total_distance, {_TOTAL} / count(distance) AS avg_distance, "
+          "CAST(sum(trip_duration_sec) AS DOUBLE) / count(trip_duration_sec) AS avg_duration_sec")
+STATS = "count(*) AS rides, " + TOTALS
 
 
 def _q(body: str) -> str:
@@ -203,14 +218,18 @@ UNION ALL SELECT 'pu_location_id', CAST(count(*) AS BIGINT), CAST(count(DISTINCT
 UNION ALL SELECT 'do_location_id', CAST(count(*) AS BIGINT), CAST(count(DISTINCT do_location_id) AS BIGINT)
   FROM fact WHERE do_location_id NOT IN (SELECT location_id FROM zone_ref)"""
 
+_MONTHLY_QUARANTINE = f"""SELECT {PREPARED_COLS}, CASE WHEN source_month[6:7] >= '07' THEN 0.75E0 END AS cbd_congestion_fee,
+  'failed_data_quality_validation' AS quarantine_reason, {FAILED} AS failed_rules, source_month
+  FROM (SELECT * REPLACE (coalesce(on_scene_datetime, request_datetime) AS on_scene_datetime) FROM spoiled) m
+  WHERE NOT coalesce({COND}, false)"""
+
 ORACLE_SQL: dict[str, str] = {
     "bronze_scan_merge_schema": _q(f"""SELECT hvfhs_license_num, dispatching_base_num, originating_base_num,
   request_datetime, on_scene_datetime, pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, trip_miles,
   trip_time, base_passenger_fare, tolls, bcf, sales_tax, congestion_surcharge,
-  CASE WHEN year(pickup_datetime) < 1997 THEN NULL ELSE airport_fee END AS airport_fee, tips, driver_pay,
-  shared_request_flag, shared_match_flag, access_a_ride_flag, wav_request_flag, wav_match_flag,
-  CASE WHEN year(pickup_datetime) >= 2000 THEN 0.75E0 END AS cbd_congestion_fee,
-  strftime(pickup_datetime, '%Y-%m') AS source_month FROM bronze"""),
+  airport_fee, tips, driver_pay, shared_request_flag, shared_match_flag, access_a_ride_flag, wav_request_flag,
+  wav_match_flag, CASE WHEN source_month[6:7] >= '07' THEN 0.75E0 END AS cbd_congestion_fee,
+  source_month FROM spoiled"""),
     "zone_csv_scan": _q(f"SELECT {ZONE_REF_OUT} FROM zone_ref"),
     "partition_glob_scan": _q(f"SELECT {FACT_NO_ID} FROM fact"),
     "gold_partitioned_roundtrip": _q(f"SELECT {FACT_NO_ID} FROM fact"),
@@ -269,13 +288,11 @@ ORACLE_SQL: dict[str, str] = {
   CAST(count(*) - count_if(is_valid) AS BIGINT) AS quarantine_rows, CAST(count_if(is_valid IS NULL) AS BIGINT) AS unknown_rows,
   (SELECT CAST(count(*) AS BIGINT) FROM silver) AS silver_rows FROM flagged"""),
     "preview_as_strings": _q(f"SELECT {_preview_cols} FROM silver ORDER BY {NATURAL_KEY} LIMIT 50"),
-    "bronze_row_cap": _q(f"SELECT {BRONZE_COLS} FROM bronze"),
     "null_profile": _q(_null_profile),
     "fact_rides": _q(f"SELECT {FACT_NO_ID} FROM fact"),
     "dim_date": _q("SELECT * FROM dim_date"),
     "dim_zone": _q(f"SELECT {ZONE_REF_OUT} FROM zone_ref"),
-    "kpi_totals": _q("""SELECT CAST(count(*) AS BIGINT) AS total_rides, avg(distance) AS avg_distance,
-  avg(trip_duration_sec) AS avg_duration_sec, sum(distance) AS total_distance FROM fact"""),
+    "kpi_totals": _q(f"SELECT CAST(count(*) AS BIGINT) AS total_rides, {TOTALS} FROM fact"),
     "daily_rides_trend": _q("""SELECT f.date_key, d.full_date, d.day_of_week, d.is_weekend, CAST(count(*) AS BIGINT) AS rides
   FROM fact f LEFT JOIN dim_date d ON f.date_key = d.date_key GROUP BY f.date_key, d.full_date, d.day_of_week, d.is_weekend"""),
     "rides_by_hour": _q("SELECT pickup_hour, CAST(count(*) AS BIGINT) AS rides FROM fact GROUP BY pickup_hour"),
@@ -299,7 +316,7 @@ ORACLE_SQL: dict[str, str] = {
   {r6('g.centroid_lat')}, {r6('g.centroid_lon')}, {cell('g.centroid_lat', 'g.centroid_lon')} AS geo_hash,
   CASE WHEN ({cell('g.centroid_lat', 'g.centroid_lon')}) IS NOT NULL THEN {CELL_LEVEL} END AS h3_resolution
   FROM lookup l LEFT JOIN geometry_c g ON l.location_id = g.location_id"""),
-    "zones_without_geometry": _q("""SELECT * FROM lookup WHERE location_id NOT IN (SELECT location_id FROM geometry)"""),
+    "zones_without_geometry": _q("""SELECT * FROM lookup WHERE location_id NOT IN (SELECT location_id FROM geometry WHERE polygon_geojson IS NOT NULL)"""),
     "zone_centroid_from_geojson": _q(f"""SELECT location_id, round(area, 8) AS area, {r6('centroid_lat')},
   {r6('centroid_lon')} FROM geometry_c"""),
     "spatial_cell": _q(f"""SELECT location_id, {cell('centroid_lat', 'centroid_lon', 8)} AS cell_8,
@@ -310,4 +327,29 @@ ORACLE_SQL: dict[str, str] = {
     "rides_by_cell": _q("""SELECT z.geo_hash AS cell, CAST(count(*) AS BIGINT) AS rides,
   CAST(count(DISTINCT f.pu_location_id) AS BIGINT) AS zones FROM fact f LEFT JOIN zone_ref z
   ON f.pu_location_id = z.location_id GROUP BY z.geo_hash"""),
+    "quarantine_rides_drop_mode": _q(f"SELECT {PREPARED_COLS}, 'failed_data_quality_validation' AS quarantine_reason, "
+                                     f"{FAILED} AS failed_rules FROM flagged WHERE NOT is_valid"),
+    "source_file_scan": _q("SELECT source_month, CAST(count(*) AS BIGINT) AS n_rows FROM spoiled GROUP BY source_month"),
+    "landing_append": _q(f"SELECT {BRONZE_COLS} FROM bronze"),
+    "csv_as_strings": _q("""SELECT CAST(LocationID AS VARCHAR) AS "LocationID", Borough AS "Borough", Zone AS "Zone", service_zone FROM lookup_raw"""),
+    "zone_centroids_csv": _q(f"SELECT location_id, {r6('centroid_lat')}, {r6('centroid_lon')} FROM zone_ref"),
+    "zone_csv_float_resolution": _q(f"SELECT {ZONE_REF_OUT} FROM zone_ref"),
+    "incremental_months_silver": _q(f"SELECT {SILVER_NO_ID}, strftime(request_datetime, '%Y-%m') AS source_month FROM silver"),
+    "incremental_months_quarantine": _q(f"{_MONTHLY_QUARANTINE}"),
+    "incremental_months_fact": _q(f"SELECT {FACT_NO_ID} FROM fact"),
+    "catalog_fact_after_sync": _q(f"SELECT {FACT_NO_ID} FROM fact"),
+    "lake_trip_ids_unique": _q("""SELECT n AS n_rows, n AS distinct_ids FROM (SELECT CAST((SELECT count(*) FROM silver) +
+  (SELECT count(*) FROM quarantine) AS BIGINT) AS n) t"""),
+    "published_agg_daily": _q(f"SELECT date_key, {STATS} FROM fact GROUP BY date_key"),
+    "published_agg_by_zone": _q(f"SELECT pu_location_id, {STATS} FROM fact GROUP BY pu_location_id"),
+    "published_agg_by_hour": _q(f"SELECT pickup_hour, {STATS} FROM fact GROUP BY pickup_hour"),
+    "published_agg_by_company": _q(f"SELECT hvfhs_license_num, {STATS} FROM fact GROUP BY hvfhs_license_num"),
+    "published_dim_date": _q("SELECT * FROM dim_date"),
+    "silver_geo_rides": _q(_enrich),
+    "quarantine_history": _q(f"""SELECT CASE WHEN source_month IN (SELECT source_month FROM (SELECT source_month,
+  row_number() OVER (ORDER BY source_month) AS i, count(*) OVER () AS n FROM (SELECT DISTINCT source_month FROM spoiled)) WHERE i <= n // 2)
+  THEN '1' ELSE '2' END AS run_id, source_month, CAST(count(*) AS BIGINT) AS n_rows
+  FROM ({_MONTHLY_QUARANTINE}) q GROUP BY source_month"""),
 }
+
+ORACLE_SQL["manifest_text"] = f"SELECT url FROM ({ORACLE_SQL['monthly_source_manifest']}) m"

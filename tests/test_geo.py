@@ -4,8 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripstar.functions.columns import geometry_moments, moments_centroid, spatial_cell
-from tripstar.operators.geo import build_zone_reference, combine_zone_geometry
-from tripstar.operators.joins import left_join_small_left
+from tripstar.operators.geo import build_zone_reference, combine_zone_geometry, zones_without_geometry
 
 
 def _sq(x, y, s=1.0, cw=False):
@@ -72,41 +71,19 @@ def test_zone_parts_combine_area_weighted(spark):
     assert miss.polygon_geojson is None and miss.geo_hash is None and miss.h3_resolution is None
 
 
-def test_left_join_small_left_equals_left_join(spark):
-    small = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k INT, s STRING")
-    big = spark.range(3000).select((F.col("id") % 2 + 1).cast("int").alias("k"), F.col("id").alias("v"))
-    want = sorted(tuple(r) for r in small.join(big, "k", "left").collect())
-    got = small and left_join_small_left(small, big, "k")
-    assert sorted(tuple(r) for r in got.collect()) == want
-    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
-
-
-def test_h3_is_gated(spark):
-    from tripstar.functions.columns import h3_available, h3_cell
-
-    if h3_available():
-        df = spark.createDataFrame([(40.75, -73.99), (None, 1.0)], "lat DOUBLE, lon DOUBLE")
-        got = [r.c for r in df.select(h3_cell("lat", "lon", 9).alias("c")).collect()]
-        assert got[0] is not None and got[1] is None
-    else:
-        with pytest.raises(RuntimeError):
-            h3_cell("lat", "lon", 9)
-
-
-def test_broadcast_only_within_bound(spark):
-    from tripstar.operators.joins import broadcast_if_small
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # isolate the explicit decision
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        big = spark.range(5000).withColumnRenamed("id", "k")
-        small = spark.range(50).withColumnRenamed("id", "k")
-        for checkpoint in (True, False):
-            within = big.join(broadcast_if_small(small, max_rows=100, checkpoint=checkpoint), "k")
-            beyond = big.join(broadcast_if_small(big.select("k"), max_rows=100, checkpoint=checkpoint), "k")
-            assert "BroadcastHashJoin" in within._jdf.queryExecution().executedPlan().toString()
-            assert "BroadcastHashJoin" not in beyond._jdf.queryExecution().executedPlan().toString()
-            assert within.count() == 50 and beyond.count() == 5000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+def test_null_polygon_counts_as_no_geometry(spark):
+    lookup = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], "location_id INT, zone_name STRING")
+    geometry = spark.createDataFrame([(1, None), (2, '{"type": "Polygon", "coordinates": []}'), (2, None)], "location_id INT, polygon_geojson STRING")
+    assert sorted(r.location_id for r in zones_without_geometry(lookup, geometry).collect()) == [1, 3]
+
+
+def test_zone_cells_do_not_depend_on_partitioning(spark):
+    from conftest import SF_SMALL
+    from tripstar.registry import Inputs
+
+    inp = Inputs(spark, SF_SMALL)
+    got = set()
+    for n in (1, 7, 16):
+        z = build_zone_reference(inp.lookup, inp.geometry.repartition(n, "polygon_geojson"))
+        got.add(tuple(sorted(map(str, z.select("location_id", "centroid_lat", "centroid_lon", "geo_hash").collect()))))
+    assert len(got) == 1

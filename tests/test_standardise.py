@@ -1,12 +1,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import bronze_df, ride
 from tripstar import schemas
 from tripstar.operators.standardise import (
-    add_trip_id, conform, derive_trip_columns, fill_on_scene, lenient_cast, rename_columns, standardise_rides,
+    add_quarantine_id, add_trip_id, conform, derive_trip_columns, fill_on_scene, lenient_cast, rename_columns, standardise_rides,
 )
 from tripstar.plans.silver import prepare
 
@@ -50,27 +51,19 @@ def test_duration_truncates_each_side_and_dates_follow_pickup(spark):
     assert (out[1].year, out[1].month, out[1].day, out[1].trip_duration_sec) == (2024, 1, 6, 180)
 
 
-def test_trip_id_modes(spark):
-    df = standardise_rides(prepare(bronze_df(spark, [ride(tips=float(i), PULocationID=i + 1) for i in range(50)])))
-    h1 = {r.trip_id for r in add_trip_id(df, "hash").collect()}
-    h2 = {r.trip_id for r in add_trip_id(df.repartition(7), "hash").collect()}
-    assert len(h1) == 50 and h1 == h2  # stable, independent of partitioning
-    m = [r.trip_id for r in add_trip_id(df, "monotonic").collect()]
-    assert len(set(m)) == 50
-    with pytest.raises(ValueError):
-        add_trip_id(df, "bogus")
-
-
-def test_shuffle_partition_sizing(spark, tmp_dir):
-    from tripstar.session import MAX_SHUFFLE_PARTITIONS, ensure_shuffle_partitions, input_bytes
-
-    spark.range(1000).write.parquet(f"{tmp_dir}/x")
-    assert input_bytes(spark, f"{tmp_dir}/x") > 0 and input_bytes(spark, f"{tmp_dir}/missing") == 0
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert ensure_shuffle_partitions(spark, 10) == int(before)          # never lowers
-        assert ensure_shuffle_partitions(spark, 100 * 2**40) == MAX_SHUFFLE_PARTITIONS  # 100 TB, capped
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-        assert ensure_shuffle_partitions(spark, 10 * 2**40) == 40960       # 10 TB -> 40960 x 512 MB
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_trip_ids_are_a_function_of_the_month(spark):
+    df = derive_trip_columns(standardise_rides(prepare(bronze_df(spark, [ride(tips=float(i), PULocationID=i + 1) for i in range(50)]))))
+    month = F.lit("2024-01")
+    key = ["pu_location_id", "trip_id"]
+    first = sorted(map(tuple, add_trip_id(df, month=month).select(key).collect()))
+    again = sorted(map(tuple, add_trip_id(df.repartition(7, "tips"), month=month).select(key).collect()))
+    other = {r.trip_id for r in add_trip_id(df, month=F.lit("2024-02")).collect()}
+    unknown = {r.trip_id for r in add_trip_id(df, month=F.lit("unknown")).collect()}
+    ids = {i for _, i in first}
+    assert first == again and len(ids) == 50 and not ids & other and not (ids | other) & unknown and min(ids) > 0
+
+
+def test_quarantine_ids_never_meet_silver_ids(spark):
+    rows = bronze_df(spark, [ride(tips=-1.0)] * 40).repartition(4)
+    ids = [r.trip_id for r in add_quarantine_id(rows, F.lit("2024-01")).collect()]
+    assert len(set(ids)) == 40 and min(ids) >= 1 << 62

@@ -3,8 +3,6 @@
 from tripstar.functions.columns import (  # noqa: F401
     date_key,
     geometry_moments,
-    h3_available,
-    h3_cell,
     moments_centroid,
     spatial_cell,
     timestamps_as_strings,

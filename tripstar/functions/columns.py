@@ -122,38 +122,3 @@ def timestamps_as_strings(df: DataFrame) -> DataFrame:
         F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, ts_types) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])
-
-
-def h3_available() -> bool:
-    try:
-        import h3  # noqa: F401
-    except ImportError:
-        return False
-    return True
-
-
-def h3_cell(lat: Column | str, lon: Column | str, resolution: int) -> Column:
-    """H3 cell id of a point (NULL in -> NULL; invalid point -> NULL), as an Arrow-batched
-    ``pandas_udf`` over the ``h3`` package. Only for per-zone tables (a few hundred rows), never
-    per ride. Raises if the package is not installed (it is not in every environment; the grid
-    :func:`spatial_cell` is the native default)."""
-    if not h3_available():
-        raise RuntimeError("the 'h3' package is not installed; use spatial_cell() instead")
-    import h3
-    import pandas as pd
-
-    to_cell = getattr(h3, "latlng_to_cell", None) or getattr(h3, "geo_to_h3")
-
-    def one(a, b):
-        if a is None or b is None or pd.isna(a) or pd.isna(b):
-            return None
-        try:
-            return to_cell(float(a), float(b), resolution)
-        except Exception:  # noqa: BLE001 - an unusable point maps to no cell
-            return None
-
-    @F.pandas_udf(T.StringType())
-    def cell(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=object)
-
-    return cell(_c(lat), _c(lon))

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tripstar import schemas
 from tripstar.functions.columns import geometry_moments, moments_centroid, spatial_cell
-from tripstar.operators.joins import broadcast_if_small, left_join_small_left
 from tripstar.operators.standardise import rename_columns
 
 # Default grid level of zone cells: 2^16 columns over 360 degrees, ~0.0055 degrees (~500 m at
@@ -51,21 +50,22 @@ def zone_geometry_join(lookup: DataFrame, geometry: DataFrame, level: int = DEFA
     """Lookup LEFT JOIN geometry on ``location_id`` with per-geometry centroid and cell.
 
     A zone with several geometry rows yields several rows (fan-out); a zone without any yields
-    one row with NULL geometry columns. The geometry side is never shuffled for the join."""
+    one row with NULL geometry columns."""
     geo = geometry_centroids(geometry, level).select(
         "location_id", "polygon_geojson", "centroid_lat", "centroid_lon", "geo_hash", "h3_resolution")
-    return left_join_small_left(lookup, geo, "location_id")
+    return lookup.join(geo, "location_id", "left").select(*lookup.columns, *[c for c in geo.columns if c != "location_id"])
 
 
 def zones_without_geometry(lookup: DataFrame, geometry: DataFrame) -> DataFrame:
-    """Lookup rows with no geometry row (anti join against the distinct geometry ids)."""
-    return lookup.join(geometry.select("location_id").distinct(), "location_id", "left_anti")
+    """Lookup rows with no geometry: no geometry row, or none with a polygon."""
+    return lookup.join(geometry.filter("polygon_geojson IS NOT NULL").select("location_id").distinct(), "location_id", "left_anti")
 
 
 def combine_zone_geometry(geometry: DataFrame, level: int = DEFAULT_CELL_LEVEL) -> DataFrame:
     """One row per ``location_id``: centroid of the union of all its geometry rows (moments
     summed, i.e. area-weighted), ``parts``, and as ``polygon_geojson`` the largest part (ties:
-    smallest text). ``sum``/``max`` are partial aggregates, so a zone with very many parts never
+    smallest text). Moments are added as decimals, so the cell of a centroid does not depend on the order
+    of the parts. ``sum``/``max`` are partial aggregates, so a zone with very many parts never
     gathers them in one place."""
     parts = geometry.select("location_id", "polygon_geojson", geometry_moments("polygon_geojson").alias("_m"))
     parts = parts.select(
@@ -75,7 +75,7 @@ def combine_zone_geometry(geometry: DataFrame, level: int = DEFAULT_CELL_LEVEL)
     )
     agg = parts.groupBy("location_id").agg(
         F.count(F.lit(1)).alias("parts"),
-        F.sum("a2").alias("a2"), F.sum("mx").alias("mx"), F.sum("my").alias("my"),
+        *[F.sum(F.col(m).cast("decimal(38,15)")).cast("double").alias(m) for m in ("a2", "mx", "my")],
         F.max(F.struct("area8", "polygon_geojson")).alias("largest"),
     )
     area, lat, lon = moments_centroid(F.col("a2"), F.col("mx"), F.col("my"))
@@ -93,7 +93,7 @@ def build_zone_reference(lookup: DataFrame, geometry: DataFrame, level: int = DE
     fan-out join), 9 columns in dimension order. ``h3_resolution`` is NULL when a zone has no
     geometry, as its cell is."""
     combined = combine_zone_geometry(geometry, level).drop("parts", "area")
-    out = lookup.join(broadcast_if_small(combined), "location_id", "left")
+    out = lookup.join(combined, "location_id", "left")
     out = out.withColumn("h3_resolution", F.when(F.col("geo_hash").isNotNull(), F.col("h3_resolution")))
     return out.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.DIM_ZONE.fields])
 
@@ -102,9 +102,9 @@ def enrich_pickup_dropoff(rides: DataFrame, zones: DataFrame,
                           pu_col: str = "pu_location_id", do_col: str = "do_location_id") -> DataFrame:
     """Add ``start_lat/start_lon/start_geo_hash`` (pickup zone) and ``end_lat/end_lon/
     end_geo_hash`` (dropoff zone): the zone dimension joined twice in two roles. ``zones`` must
-    be unique per ``location_id`` (a dimension); it is projected to 4 columns and broadcast
-    after a size check, so rides are not shuffled."""
-    z = broadcast_if_small(zones.select("location_id", "centroid_lat", "centroid_lon", "geo_hash"))
+    be unique per ``location_id`` (a dimension); it is projected to 4 columns, without
+    the polygons, and left to the planner: from a published dimension it is broadcast by its size."""
+    z = zones.select("location_id", "centroid_lat", "centroid_lon", "geo_hash")
     pu = z.withColumnsRenamed({"location_id": pu_col, "centroid_lat": "start_lat",
                                "centroid_lon": "start_lon", "geo_hash": "start_geo_hash"})
     do = z.withColumnsRenamed({"location_id": do_col, "centroid_lat": "end_lat",
@@ -117,7 +117,7 @@ def rides_by_cell(fact: DataFrame, zones: DataFrame) -> DataFrame:
     """Rides per pickup spatial cell (NULL cell = zone unknown or without geometry): rides are
     aggregated per zone first, then mapped to cells and re-aggregated."""
     per_zone = fact.groupBy("pu_location_id").agg(F.count(F.lit(1)).alias("rides"))
-    cells = broadcast_if_small(zones.select(F.col("location_id").alias("pu_location_id"), "geo_hash"))
+    cells = zones.select(F.col("location_id").alias("pu_location_id"), "geo_hash")
     return (per_zone.join(cells, "pu_location_id", "left")
             .groupBy(F.col("geo_hash").alias("cell"))
             .agg(F.sum("rides").alias("rides"), F.count(F.lit(1)).alias("zones")))

@@ -1,47 +1,13 @@
-"""Row caps and previews.
-
-A plain ``limit(n)`` funnels every row through one task (``GlobalLimit`` behind a single-
-partition exchange), so everything after it runs serially. :func:`cap_rows` keeps the same
-number of rows without that funnel: one small job counts rows per input partition, the driver
-finds the boundary partition from the prefix sums, and a filter on the partition id and the row's
-position inside its partition keeps the rest -- still fully parallel.
-"""
+"""Previews: the only row limit of the library, as the feature itself."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tripstar.functions.columns import timestamps_as_strings
 
-_POS_MASK = (1 << 33) - 1  # low 33 bits of monotonically_increasing_id = position in partition
-
-
-def cap_rows(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """At most ``max_rows`` rows: all rows of the first partitions and a prefix of one boundary
-    partition. Use directly over a scan: the input's partitioning and row order must be the same
-    in the counting job and the final job (true for file scans). The driver receives one count
-    per input partition; the filter itself is two comparisons per row."""
-    if max_rows is None:
-        return df
-    counts = sorted(
-        (r["p"], r["n"]) for r in
-        df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()
-    )
-    if sum(n for _, n in counts) <= max_rows:
-        return df
-    boundary, rest = -1, max_rows
-    for p, n in counts:
-        if n > rest:
-            boundary = p
-            break
-        rest -= n
-    pid = F.spark_partition_id()
-    pos = F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))
-    return df.filter((pid < boundary) | ((pid == boundary) & (pos < rest)))
-
 
 def preview(df: DataFrame, order_by: Sequence[str], n: int = 50) -> DataFrame:
     """Top ``n`` rows in a total order, timestamps rendered as text (for clients that mishandle

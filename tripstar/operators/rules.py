@@ -92,12 +92,6 @@ def failed_rules(rules: list[Rule]) -> Column:
     return F.concat_ws(",", *[F.when(flag, F.lit(name)) for name, flag in _rule_flags(rules)])
 
 
-def failed_rule_list(rules: list[Rule]) -> Column:
-    """``array<string>`` form of :func:`failed_rules`."""
-    return F.filter(F.array(*[F.when(flag, F.lit(name)) for name, flag in _rule_flags(rules)]),
-                    lambda x: x.isNotNull())
-
-
 def valid_rows(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """Rows on which every rule is TRUE. Simple predicates reach the Parquet scan."""
     return df.filter(validity(rules or ride_rules()))

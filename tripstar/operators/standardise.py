@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,21 +65,39 @@ def fill_on_scene(df: DataFrame) -> DataFrame:
     return df.withColumn("on_scene_datetime", F.coalesce("on_scene_datetime", "request_datetime"))
 
 
-def add_trip_id(df: DataFrame, mode: str = "hash", key: Iterable[str] = schemas.NATURAL_KEY) -> DataFrame:
-    """Surrogate ``trip_id`` (BIGINT).
-
-    ``hash``: ``xxhash64`` of the natural key -- stable across runs, retries and added months,
-    independent of partitioning, transparent to filter pushdown; unique once the input is
-    deduplicated on the key up to 64-bit collisions (expected colliding pairs n^2 / 2^65: about
-    0.002 at 2.5e8 rows, about 1 at 6e9), which :func:`tripstar.operators.metrics.id_uniqueness`
-    detects. ``monotonic``: ``monotonically_increasing_id()``, exactly unique; deterministic when
-    the input's partitioning and row order are (e.g. right after the dedupe). Apply it after
-    filters so they still reach the scan."""
-    if mode == "hash":
-        return df.withColumn("trip_id", F.xxhash64(*[F.col(_q(c)) for c in key]))
-    if mode == "monotonic":
-        return df.withColumn("trip_id", F.monotonically_increasing_id())
-    raise ValueError(f"unknown trip id mode {mode!r}")
+# Layout of a ride id, from the top: sign 0, quarantine flag, 15 bits of month (12 * year + month of the
+# source month; 0 if unknown), then 13 bits of cell and 34 of rank (silver) or 19 bits of scan partition
+# and 28 of position (quarantine).
+ID_FLAG_BIT, ID_MONTH_BIT, ID_CELL_BITS, ID_RANK_BITS, ID_POSITION_BITS = 62, 47, 13, 34, 28
+
+
+def month_number(source_month: Column) -> Column:
+    """12 * year + month of ``yyyy-MM``; 0 for anything else."""
+    known = source_month.rlike("^[0-9]{4}-(0[1-9]|1[0-2])$")
+    return F.when(known, F.substring(source_month, 1, 4).try_cast("long") * 12 + F.substring(source_month, 6, 2).try_cast("long")).otherwise(F.lit(0).cast("long"))
+
+
+def add_trip_id(df: DataFrame, key: Iterable[str] = schemas.NATURAL_KEY, month: Column | None = None) -> DataFrame:
+    """Surrogate ``trip_id`` (BIGINT) of rows that are distinct on (month, key): the month number, a
+    hash cell of the key and the rank of the key inside (month, cell). Unique by construction, also over
+    months that are loaded one after another, and a function of the month's rows alone: partitioning,
+    retries and other months do not change it. Costs one shuffle on (month, cell); the cells keep a
+    month with a third of all rows from meeting in one task."""
+    key = [_q(c) for c in key]
+    m = month_number(F.date_format("start_time", "yyyy-MM") if month is None else month)
+    cell = F.pmod(F.xxhash64(*key), F.lit(1 << ID_CELL_BITS))
+    inside = Window.partitionBy("__month", "__cell").orderBy(*key)
+    ranked = df.withColumns({"__month": m, "__cell": cell}).withColumn("__rank", F.row_number().over(inside).cast("long"))
+    packed = F.shiftleft("__month", ID_MONTH_BIT).bitwiseOR(F.shiftleft("__cell", ID_RANK_BITS)).bitwiseOR(F.col("__rank"))
+    return ranked.withColumn("trip_id", packed).drop("__month", "__cell", "__rank")
+
+
+def add_quarantine_id(df: DataFrame, month: Column) -> DataFrame:
+    """``trip_id`` of quarantined rows, which may repeat: flag, month number, scan partition and
+    position there. Map-only; unique over silver and over the other months of quarantine."""
+    scan = F.monotonically_increasing_id()
+    place = F.shiftleft(F.shiftright(scan, 33), ID_POSITION_BITS).bitwiseOR(scan.bitwiseAND(F.lit((1 << ID_POSITION_BITS) - 1)))
+    return df.withColumn("trip_id", F.lit(1 << ID_FLAG_BIT).bitwiseOR(F.shiftleft(month_number(month), ID_MONTH_BIT)).bitwiseOR(place))
 
 
 def derive_trip_columns(df: DataFrame) -> DataFrame:

@@ -61,6 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = tempfile.mkdtemp(prefix="tripstar-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
+    if current.startswith("file:") and not sc.master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir is machine-local ({current}); name a shared location")
     return current.rstrip("/")
 
 

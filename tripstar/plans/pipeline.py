@@ -1,40 +1,58 @@
 """The monthly chain: bronze -> silver (+ quarantine) -> gold -> catalog.
 
-Lineage is cut at every layer by the written table itself: gold reads the silver files back,
-so a lost executor during the gold job recomputes from silver, not from bronze. Row counts come
-from ``Observation``s attached to the writes, so no extra pass over any layer is needed.
+The unit of loading is the **source month**: the month of the file a row came in, whatever its pickup
+time says (it may be NULL or lie in another month). Silver and quarantine are partitioned by it, so a
+month is replaced whole, with rows that cannot be dated. The fact table is partitioned by day; a run
+rebuilds every day that the loaded months touch now or touched before, from all of silver, so a
+corrected month that lost a day leaves nothing behind and other months' rows on these days stay.
+
+Lineage is cut at every layer by the written table itself. Replacing a month first removes its
+partitions and then writes them; a run that is broken off is repaired by running it again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstar import schemas
 from tripstar.operators import gold as G
+from tripstar.operators import metrics as M
+from tripstar.operators import rules as R
 from tripstar.operators.geo import DEFAULT_CELL_LEVEL, build_zone_reference, enrich_pickup_dropoff
-from tripstar.operators.limits import cap_rows
 from tripstar.paths import LakePaths
-from tripstar.session import ensure_shuffle_partitions, input_bytes
-from tripstar.plans.gold import GoldTables, publish_gold
 from tripstar.plans.publish import (
-    publish_preaggregates, read_table, register_gold_tables, sync_partitions, write_table,
+    publish_preaggregates, read_if_exists, read_table, register_gold_tables, remove_partitions, sync_partitions, write_table,
 )
 from tripstar.plans.silver import bronze_to_silver
+from tripstar.schemas import FACT_PARTITION_COLUMNS
 from tripstar.sources.files import read_bronze, read_zone_reference_csv, write_zone_reference_csv
 
+MONTH = "source_month"
+UNKNOWN_MONTH = "unknown"
+# A month column of a rerun appended to the quarantine history.
+RUN = "run_id"
+
 
 @dataclass
 class PipelineResult:
     counts: dict[str, int] = field(default_factory=dict)
 
 
-def month_filter(df: DataFrame, year: int, month: int, ts_col: str = "pickup_datetime") -> DataFrame:
-    """Rows of one calendar month as a half-open range predicate (pushed to the scan)."""
-    start = F.make_timestamp_ntz(F.lit(year), F.lit(month), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    return df.filter((F.col(ts_col) >= start) & (F.col(ts_col) < F.timestamp_add("MONTH", F.lit(1), start)))
+def with_source_month(bronze: DataFrame) -> DataFrame:
+    """Adds or cleans ``source_month`` (``yyyy-MM``): the landing partition if there is one, else the
+    month in the file's name, else that of the pickup; ``unknown`` if none can be told."""
+    if MONTH in bronze.columns:
+        month: Column = F.col(MONTH).cast("string")
+    elif bronze.inputFiles():
+        name = F.regexp_extract(F.col("_metadata.file_name"), r"([0-9]{4}-[0-9]{2})\.[^/]*$", 1)
+        month = F.when(name != "", name).otherwise(F.date_format("pickup_datetime", "yyyy-MM"))
+    else:
+        month = F.date_format("pickup_datetime", "yyyy-MM")
+    known = month.rlike("^[0-9]{4}-(0[1-9]|1[0-2])$")
+    return bronze.withColumn(MONTH, F.when(known, month).otherwise(F.lit(UNKNOWN_MONTH)))
 
 
 def build_reference(spark: SparkSession, paths: LakePaths, zone_lookup: DataFrame, zone_geometry: DataFrame,
@@ -43,88 +61,110 @@ def build_reference(spark: SparkSession, paths: LakePaths, zone_lookup: DataFram
     write_zone_reference_csv(build_zone_reference(zone_lookup, zone_geometry, level), paths.zone_reference)
 
 
+def _days(df: DataFrame) -> list[tuple[int, int, int]]:
+    """Distinct days of a silver frame; bounded by the calendar."""
+    return sorted(tuple(r) for r in df.select(*FACT_PARTITION_COLUMNS).distinct().collect())
+
+
+def _on_days(df: DataFrame, days: Sequence[tuple[int, int, int]]) -> DataFrame:
+    keys = df.sparkSession.createDataFrame([tuple(d) for d in days], "year int, month int, day int")
+    return df.join(keys, list(FACT_PARTITION_COLUMNS), "left_semi")
+
+
 def run_bronze_to_silver(spark: SparkSession, paths: LakePaths, bronze: DataFrame | None = None,
-                         on_null: str = "quarantine", id_mode: str | None = None,
+                         on_null: str = "quarantine", months: Sequence[str] | None = None,
                          quarantine_mode: str = "overwrite", run_id: str | None = None,
-                         enrich_geo: bool = False, incremental: bool = False,
-                         max_rows: int | None = None) -> dict[str, int]:
+                         enrich_geo: bool = False) -> dict:
     """Silver and quarantine writes; with ``enrich_geo`` also silver rides with pickup / dropoff
-    coordinates and cells (from the published zone reference) at ``paths.silver_rides_geo``.
-
-    ``id_mode`` defaults to ``monotonic`` (exactly unique within a run) for a full rebuild and to
-    ``hash`` when ``incremental`` (one month per run): numbering restarts every run, so only a
-    key-derived id stays unique across the months accumulated in the fact table. ``max_rows``
-    caps the bronze input exactly and in parallel (:func:`~tripstar.operators.limits.cap_rows`,
-    applied directly over the scan); off by default."""
-    id_mode = id_mode or ("hash" if incremental else "monotonic")
-    if bronze is None:
-        # the dedupe shuffles all of bronze: size the reduce side from the input before planning
-        ensure_shuffle_partitions(spark, input_bytes(spark, paths.bronze_rides))
-        bronze = read_bronze(spark, paths.bronze_rides, schemas.BRONZE_RIDES)
-    if max_rows is not None:
-        bronze = cap_rows(bronze, max_rows)
-    in_obs = Observation("bronze_input")
-    res = bronze_to_silver(bronze, on_null=on_null, id_mode=id_mode, input_observation=in_obs)
-    silver_obs, q_obs = Observation("silver"), Observation("quarantine")
-    write_table(res.silver, paths.silver_rides, observation=silver_obs)
+    coordinates and cells at ``paths.silver_rides_geo``. ``months`` loads these source months and
+    replaces their partitions; without it all of silver is replaced. ``quarantine_mode="append"`` keeps
+    a history of runs, told apart by ``run_id``. Returns row counts and the days touched."""
+    bronze = with_source_month(read_bronze(spark, paths.bronze_rides) if bronze is None else bronze)
+    old = None
+    if months is not None:
+        bronze = bronze.filter(F.col(MONTH).isin(*months))
+        before = read_if_exists(spark, paths.silver_rides)
+        old = [] if before is None else _days(before.filter(F.col(MONTH).isin(*months)))
+    res = bronze_to_silver(bronze, on_null=on_null)
     quarantine = res.quarantine
     if quarantine_mode == "append":
-        quarantine = quarantine.withColumn("run_id", F.lit(run_id or "unspecified"))
-    # Written on every run (even when empty), so a stale quarantine never outlives a clean run.
-    write_table(quarantine, paths.quarantine_rides, mode=quarantine_mode, observation=q_obs)
-    counts = {"silver_rows": silver_obs.get["rows"], "quarantine_rows": q_obs.get["rows"], **in_obs.get}
+        quarantine = quarantine.withColumn(RUN, F.lit(run_id or "unspecified"))
+    counts: dict = {}
+    for name, df, path, keep in (("silver_rows", res.silver, paths.silver_rides, False),
+                                 ("quarantine_rows", quarantine, paths.quarantine_rides, quarantine_mode == "append")):
+        if months is not None and not keep:
+            remove_partitions(spark, path, [f"{MONTH}={m}" for m in months])
+        write_table(df, path, (MONTH,), mode="append" if keep or months is not None else "overwrite")
+        written = read_table(spark, path)
+        if months is not None:
+            written = written.filter(F.col(MONTH).isin(*months))
+        if keep:
+            written = written.filter(F.col(RUN) == (run_id or "unspecified"))
+        counts[name] = written.count()
+    cond = R.validity(R.ride_rules())
+    counts.update(res.prepared.agg(
+        F.count(F.lit(1)).alias("bronze_rows"), F.count_if(cond).alias("valid_rows"),
+        F.count_if(~cond).alias("failed_rows"), F.count_if(cond.isNull()).alias("unknown_rows")).first().asDict())
+    silver = read_table(spark, paths.silver_rides)
+    if months is not None:
+        counts["days"] = sorted({*old, *_days(silver.filter(F.col(MONTH).isin(*months)))})
     if enrich_geo:
-        silver = read_table(spark, paths.silver_rides)
         zones = read_zone_reference_csv(spark, paths.zone_reference)
-        geo_obs = Observation("silver_geo")
-        write_table(enrich_pickup_dropoff(silver, zones), paths.silver_rides_geo, observation=geo_obs)
-        counts["silver_geo_rows"] = geo_obs.get["rows"]
+        geo = enrich_pickup_dropoff(silver if months is None else silver.filter(F.col(MONTH).isin(*months)), zones)
+        if months is not None:
+            remove_partitions(spark, paths.silver_rides_geo, [f"{MONTH}={m}" for m in months])
+        write_table(geo, paths.silver_rides_geo, (MONTH,), mode="overwrite" if months is None else "append")
+        counts["silver_geo_rows"] = read_table(spark, paths.silver_rides_geo).count()
     return counts
 
 
 def run_silver_to_gold(spark: SparkSession, paths: LakePaths, database: str | None = None,
-                       dynamic_overwrite: bool = False) -> dict[str, int]:
+                       days: Sequence[tuple[int, int, int]] | None = None) -> dict[str, int]:
+    """Fact table, dimensions and pre-aggregates from silver. ``days`` rebuilds these days alone: the
+    fact table and the additive base of the pre-aggregates replace their partitions, and everything
+    else is rolled up from the base, so the cost follows the days, not the history."""
     silver = read_table(spark, paths.silver_rides)
-    zones = read_zone_reference_csv(spark, paths.zone_reference)
-    gold = GoldTables(G.fact_rides(silver), G.dim_date(silver), G.dim_zone(zones))
-    counts = publish_gold(gold, paths.gold(""), dynamic_overwrite=dynamic_overwrite)
-    # Full rebuild: aggregate the fact plan over silver (same columns, no re-listing of the
-    # day partitions just written). Incremental: the published table holds the other months.
-    fact_for_aggs = read_table(spark, paths.gold("fact_rides")) if dynamic_overwrite else gold.fact_rides
-    counts.update(publish_preaggregates(fact_for_aggs, paths.gold("")))
-    if dynamic_overwrite:
-        # Other months stay in the fact table, so the date dimension is rebuilt from all of it
-        # (the partition columns alone identify each date).
-        fact = read_table(spark, paths.gold("fact_rides"))
-        dates = fact.select(F.make_date("year", "month", "day").alias("start_time"))
-        obs = Observation("dim_date_full")
-        write_table(G.dim_date(dates), paths.gold("dim_date"), observation=obs)
-        counts["dim_date"] = obs.get["rows"]
+    parts = list(FACT_PARTITION_COLUMNS)
+    rides = G.fact_rides(silver if days is None else _on_days(silver, days))
+    # fact files sorted by pickup zone inside each day: zone-filtered reads skip row groups
+    _replace(rides, paths.gold("fact_rides"), parts, days, sort_within=("pu_location_id",))
+    # the base is far smaller than the fact table, so whole calendar months of it are replaced
+    months = None if days is None else sorted({d[:2] for d in days})
+    dated = silver if days is None else silver.join(
+        spark.createDataFrame(months, "year int, month int"), ["year", "month"], "left_semi")
+    _replace(M.base_aggregate(G.fact_rides(dated)), paths.gold("agg_base"), parts[:2], months)
+    base = read_table(spark, paths.gold("agg_base"))
+    dates = base.select(F.make_date("year", "month", "day").alias("start_time"))
+    write_table(G.dim_date(dates), paths.gold("dim_date"))
+    write_table(G.dim_zone(read_zone_reference_csv(spark, paths.zone_reference)), paths.gold("dim_zone"))
+    counts = {t: read_table(spark, paths.gold(t)).count() for t in ("dim_date", "dim_zone")}
+    counts["fact_rides"] = base.agg(F.coalesce(F.sum("rides"), F.lit(0))).first()[0]
+    counts.update(publish_preaggregates(base, paths.gold("")))
     if database:
         register_gold_tables(spark, database, paths.gold(""))
+        # files were replaced: plans and listings that the session keeps of them are void
+        for table in ("fact_rides", "dim_date", "dim_zone", *M.PREAGGREGATES):
+            spark.sql(f"REFRESH TABLE {database}.{table}")
         sync_partitions(spark, f"{database}.fact_rides")
-        # Statistics let the planner size the dimensions (broadcast decisions) without scanning;
-        # the fact table is always the streamed side, so its size is not computed (that would
-        # list every partition).
+        # Statistics let the planner size the dimensions (broadcast decisions) without scanning.
         for dim in ("dim_date", "dim_zone"):
             spark.sql(f"ANALYZE TABLE {database}.{dim} COMPUTE STATISTICS")
     return counts
 
 
+def _replace(df: DataFrame, path: str, parts: list[str], keys, sort_within: Sequence[str] = ()) -> None:
+    """Replace the partitions ``keys`` (all if None) by the rows of ``df``."""
+    if keys is not None:
+        remove_partitions(df.sparkSession, path, ["/".join(f"{p}={v}" for p, v in zip(parts, k, strict=True)) for k in keys])
+    write_table(df, path, parts, mode="overwrite" if keys is None else "append", sort_within=sort_within)
+
+
 def run_pipeline(spark: SparkSession, paths: LakePaths, bronze: DataFrame | None = None,
-                 database: str | None = None, on_null: str = "quarantine", id_mode: str | None = None,
-                 month: tuple[int, int] | None = None, max_rows: int | None = None) -> PipelineResult:
-    """Bronze -> silver -> gold (-> catalog). The zone reference must exist at
-    ``paths.zone_reference`` (see :func:`build_reference`).
-
-    ``month=(year, month)`` runs one incremental month: the bronze scan is restricted to that
-    month (range predicate on the pickup time, pushed to the scan) and only the fact partitions
-    of that month are replaced (dynamic overwrite); ids default to the key hash."""
-    if month is not None:
-        bronze = bronze if bronze is not None else read_bronze(spark, paths.bronze_rides, schemas.BRONZE_RIDES)
-        bronze = month_filter(bronze, *month)
-    counts = run_bronze_to_silver(spark, paths, bronze, on_null=on_null, id_mode=id_mode,
-                                  incremental=month is not None, max_rows=max_rows)
-    dynamic_overwrite = month is not None
-    counts.update(run_silver_to_gold(spark, paths, database, dynamic_overwrite))
+                 database: str | None = None, on_null: str = "quarantine", months: Sequence[str] | None = None,
+                 quarantine_mode: str = "overwrite", run_id: str | None = None, enrich_geo: bool = False) -> PipelineResult:
+    """Bronze -> silver -> gold (-> catalog). The zone reference must exist at ``paths.zone_reference``
+    (see :func:`build_reference`). ``months`` (``yyyy-MM`` source months) loads or reloads just these."""
+    counts = run_bronze_to_silver(spark, paths, bronze, on_null, months, quarantine_mode, run_id, enrich_geo)
+    days = counts.pop("days", None)
+    counts.update(run_silver_to_gold(spark, paths, database, days))
     return PipelineResult(counts)

@@ -4,42 +4,65 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tripstar import schemas
+from tripstar.operators.metrics import PREAGGREGATES, roll_up
 
 
 def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), mode: str = "overwrite",
-                dynamic_overwrite: bool = False, observation: Observation | None = None,
                 sort_within: Sequence[str] = ()) -> None:
     """Write Parquet, optionally hive-partitioned.
 
     With partition columns the frame is ``REBALANCE``d on them first: AQE then sizes the write
     tasks (a day holding a third of all rows is split into several files instead of one huge
-    task) and each task writes few partition directories. ``dynamic_overwrite`` replaces only
-    the partitions present in ``df`` (incremental months). ``observation`` collects metrics
-    on the write itself, without another pass over the data. ``sort_within`` orders rows inside
+    task) and each task writes few partition directories. ``sort_within`` orders rows inside
     each file (after the partition columns, which the writer sorts by anyway), so Parquet
-    min/max statistics let filtered reads skip row groups."""
-    if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+    min/max statistics let filtered reads skip row groups. A partitioned frame without rows leaves one
+    empty file, so that the table can be read."""
     if partition_cols:
         df = df.hint("rebalance", *partition_cols)
     if sort_within:
         df = df.sortWithinPartitions(*partition_cols, *sort_within)
     writer = df.write.mode(mode)
-    if dynamic_overwrite:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
+    spark = df.sparkSession
+    spark.catalog.refreshByPath(path)
+    if partition_cols and not _has_data(spark, path):
+        # partitioned writers leave nothing for an empty frame: declare the schema by an empty partition
+        none = df.sparkSession.createDataFrame([], df.schema).drop(*partition_cols)
+        none.write.mode("append").parquet("/".join([path, *(f"{c}=__HIVE_DEFAULT_PARTITION__" for c in partition_cols)]))
+        spark.catalog.refreshByPath(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+
+
+def remove_partitions(spark: SparkSession, path: str, partitions: Iterable[str]) -> None:
+    """Remove partition directories (relative to the table), if they are there."""
+    for part in partitions:
+        fs, p = _fs(spark, f"{path.rstrip('/')}/{part}")
+        fs.delete(p, True)
+    spark.catalog.refreshByPath(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    return read_table(spark, path) if _has_data(spark, path) else None
+
+
 def run_statements(spark: SparkSession, statements: Iterable[str]) -> int:
     """Execute SQL statements in order, skipping blank ones; returns how many ran."""
     n = 0
@@ -51,10 +74,12 @@ def run_statements(spark: SparkSession, statements: Iterable[str]) -> int:
 
 
 def gold_table_ddl(database: str, gold_root: str) -> list[str]:
-    """``CREATE DATABASE`` + idempotent external Parquet tables over the gold directories."""
+    """``CREATE DATABASE`` + idempotent external Parquet tables over the gold directories:
+    dimensions, fact and the four pre-aggregates."""
     root = gold_root.rstrip("/")
     dd = schemas.ddl
     fact_cols = [f for f in schemas.FACT_RIDES.fields]
+    types = {f.name: f.dataType.simpleString().upper() for f in fact_cols}
     return [
         f"CREATE DATABASE IF NOT EXISTS {database}",
         f"CREATE TABLE IF NOT EXISTS {database}.dim_date ({dd(schemas.DIM_DATE)}) "
@@ -65,6 +90,9 @@ def gold_table_ddl(database: str, gold_root: str) -> list[str]:
         + ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in fact_cols)
         + f") USING PARQUET PARTITIONED BY ({', '.join(schemas.FACT_PARTITION_COLUMNS)}) "
         f"LOCATION '{root}/fact_rides'",
+        *(f"CREATE TABLE IF NOT EXISTS {database}.{name} (`{key}` {types[key]}, `rides` BIGINT, `total_distance` DOUBLE, "
+          f"`avg_distance` DOUBLE, `avg_duration_sec` DOUBLE) USING PARQUET LOCATION '{root}/{name}'"
+          for name, key in PREAGGREGATES.items()),
     ]
 
 
@@ -77,21 +105,11 @@ def sync_partitions(spark: SparkSession, table: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
-def publish_preaggregates(fact: DataFrame, gold_root: str) -> dict[str, int]:
-    """Write ``agg_trips_daily / _by_zone / _by_hour / _by_company`` from one scan of the fact.
-
-    The combined aggregate is tiny (bounded by days + zones + hours + providers), so it is
-    checkpointed once to the shared checkpoint directory and each table is a filter of it."""
-    from tripstar.operators.metrics import PREAGGREGATES, all_preaggregates
-    from tripstar.paths import checkpoint_root
-
-    checkpoint_root(fact.sparkSession)
-    combined = all_preaggregates(fact).checkpoint(eager=True)
+def publish_preaggregates(base: DataFrame, gold_root: str) -> dict[str, int]:
+    """Write ``agg_trips_daily / _by_zone / _by_hour / _by_company``, rolled up from the additive base."""
     counts = {}
     for name, key in PREAGGREGATES.items():
-        obs = Observation(name)
-        table = combined.filter(F.col("agg_table") == name).select(
-            key, "rides", "total_distance", "avg_distance", "avg_duration_sec")
-        write_table(table.coalesce(1), f"{gold_root.rstrip('/')}/{name}", observation=obs)
-        counts[name] = obs.get["rows"]
+        path = f"{gold_root.rstrip('/')}/{name}"
+        write_table(roll_up(base, key), path)
+        counts[name] = read_table(base.sparkSession, path).count()
     return counts

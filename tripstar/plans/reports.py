@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripstar.operators import metrics as M
 from tripstar.operators.geo import rides_by_cell
-from tripstar.operators.joins import plan_visible_broadcasts
 
 
 def gold_tables(spark: SparkSession, database: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -35,21 +35,30 @@ REPORTS: dict[str, Callable[[DataFrame, DataFrame, DataFrame], DataFrame]] = {
 }
 
 
+# Reports that the pre-aggregates answer as well, when no dates are given.
+FROM_PREAGGREGATES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "rides_by_hour": lambda spark, db: spark.table(f"{db}.agg_trips_by_hour").select("pickup_hour", "rides").orderBy("pickup_hour"),
+    "rides_by_provider": lambda spark, db: spark.table(f"{db}.agg_trips_by_company").select(
+        "hvfhs_license_num", "rides").orderBy(F.desc("rides"), "hvfhs_license_num"),
+}
+
+
 def register_report_views(spark: SparkSession, database: str, prefix: str = "",
                           start: str | None = None, end: str | None = None) -> list[str]:
     """Create or replace a temporary view per report (``<prefix><report>``) over the gold
     tables of ``database``; returns the view names. ``start`` / ``end`` (ISO dates) scope every
     view to a pickup-date range through partition filters, so only those day directories are
-    read. Dimensions are size-checked without checkpointing, so a view stays valid across data
-    refreshes."""
+    read; without them the pre-aggregate tables answer what they can without the fact table."""
     fact, dim_date, dim_zone = gold_tables(spark, database)
+    scoped = start is not None or end is not None
     fact = M.for_dates(fact, start, end)
     names = []
-    with plan_visible_broadcasts():
-        for name, build in REPORTS.items():
-            build(fact, dim_date, dim_zone).createOrReplaceTempView(prefix + name)
-            names.append(prefix + name)
+    for name, build in REPORTS.items():
+        df = FROM_PREAGGREGATES[name](spark, database) if not scoped and name in FROM_PREAGGREGATES else build(fact, dim_date, dim_zone)
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
     for name in M.PREAGGREGATES:
-        M.agg_trips(fact, M.PREAGGREGATES[name]).createOrReplaceTempView(prefix + name)
+        df = M.agg_trips(fact, M.PREAGGREGATES[name]) if scoped else spark.table(f"{database}.{name}")
+        df.createOrReplaceTempView(prefix + name)
         names.append(prefix + name)
     return names

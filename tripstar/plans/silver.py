@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstar import schemas
 from tripstar.operators import rules as R
 from tripstar.operators.dedupe import dedupe
 from tripstar.operators.standardise import (
-    add_trip_id, derive_trip_columns, drop_operational_columns, fill_on_scene, standardise_rides,
+    add_quarantine_id, add_trip_id, derive_trip_columns, drop_operational_columns, fill_on_scene, lenient_cast, rename_columns,
 )
 
 SILVER_COLUMNS = [f.name for f in schemas.SILVER_RIDES.fields] + [f.name for f in schemas.SILVER_DERIVED.fields]
@@ -29,46 +29,30 @@ def prepare(bronze: DataFrame) -> DataFrame:
     return fill_on_scene(drop_operational_columns(bronze))
 
 
-def validated_silver(valid: DataFrame, id_mode: str = "monotonic") -> DataFrame:
-    """Valid rows -> standardised, derived, deduplicated silver with ``trip_id``.
+def validated_silver(valid: DataFrame) -> DataFrame:
+    """Valid rows -> standardised, derived, deduplicated silver with ``trip_id``. A ``source_month``
+    column, if there, stays beside the silver columns and is part of the key: a month's rows depend on
+    that month's files alone, so loading months together or one by one gives the same silver."""
+    month = ["source_month"] if "source_month" in valid.columns else []
+    renamed = lenient_cast(rename_columns(valid.drop("trip_id"), schemas.RIDE_RENAMES), schemas.SILVER_RIDES)
+    declared = [f.name for f in schemas.SILVER_RIDES.fields if f.name != "trip_id"]
+    std = derive_trip_columns(renamed.select(*declared, *month))
+    deduped = dedupe(std, [*schemas.NATURAL_KEY, *month])
+    with_id = add_trip_id(deduped, month=F.col("source_month") if month else None)
+    return with_id.select(*SILVER_COLUMNS, *month)
 
-    ``monotonic`` (default) numbers the deduplicated rows: exactly unique at any scale, and
-    reproducible for a given input because the dedupe output is hash-partitioned and sorted on
-    the (now unique) key, so a retried task emits the same rows in the same order. ``hash``
-    gives ids that stay stable when other months are added, but 64-bit hashes start to collide
-    around 10^9.5 rows (expected colliding pairs n^2 / 2^65)."""
-    std = derive_trip_columns(standardise_rides(valid.drop("trip_id")))
-    deduped = dedupe(std, schemas.NATURAL_KEY)
-    if id_mode == "monotonic":
-        # Numbering follows row order, so pin it: the (unique) key order within each partition.
-        # Free when the dedupe ran as a sort aggregate (output already in key order); a real sort
-        # only if the planner chose a hash aggregate, whose order depends on shuffle fetch order.
-        deduped = deduped.sortWithinPartitions(*schemas.NATURAL_KEY)
-    return add_trip_id(deduped, id_mode).select(*SILVER_COLUMNS)
 
-
-def bronze_to_silver(bronze: DataFrame, on_null: str = "quarantine", id_mode: str = "monotonic",
-                     rules: list | None = None, input_observation: Observation | None = None) -> SilverResult:
+def bronze_to_silver(bronze: DataFrame, on_null: str = "quarantine", rules: list | None = None) -> SilverResult:
     """Lazy silver and quarantine frames of one bronze input.
 
-    One shuffle in total (the dedupe, on the natural key). Quarantine rows keep their raw names
-    (less the operational columns) and get a per-run ``trip_id`` assigned *after* the filter, so
-    the validity predicates still reach the scan. ``input_observation`` is attached below the
-    quarantine filter, so the quarantine job -- which scans all of bronze anyway -- also yields
-    ``bronze_rows``, ``valid_rows``, ``failed_rows`` and ``unknown_rows`` without another pass."""
+    Silver shuffles twice (the dedupe on the natural key, the numbering on month and cell). Quarantine
+    rows keep their raw names (less the operational columns) and every other column of the feed, and
+    get their ``trip_id`` *after* the filter, so the validity predicates still reach the scan."""
     rules = rules or R.ride_rules()
     prepared = prepare(bronze)
-    valid = R.valid_rows(prepared, rules)
-    q_input = prepared
-    if input_observation is not None:
-        cond = R.validity(rules)
-        q_input = prepared.observe(
-            input_observation,
-            F.count(F.lit(1)).alias("bronze_rows"), F.count_if(cond).alias("valid_rows"),
-            F.count_if(~cond).alias("failed_rows"), F.count_if(cond.isNull()).alias("unknown_rows"))
-    quarantine = R.quarantine_rows(q_input, rules, on_null)
-    quarantine = quarantine.withColumn("trip_id", F.monotonically_increasing_id())
-    return SilverResult(validated_silver(valid, id_mode), quarantine, prepared)
+    quarantine = R.quarantine_rows(prepared, rules, on_null)
+    month = F.col("source_month") if "source_month" in bronze.columns else F.date_format("pickup_datetime", "yyyy-MM")
+    return SilverResult(validated_silver(R.valid_rows(prepared, rules)), add_quarantine_id(quarantine, month), prepared)
 
 
 def split_counts(prepared: DataFrame, rules: list | None = None) -> DataFrame:

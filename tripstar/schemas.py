@@ -137,8 +137,6 @@ DIM_ZONE = _struct(
 ZONE_LOOKUP = _struct(("LocationID", _I), ("Borough", _S), ("Zone", _S), ("service_zone", _S))
 ZONE_LOOKUP_RENAMES = {"LocationID": "location_id", "Borough": "borough", "Zone": "zone_name"}
 
-ZONE_GEOMETRY = _struct(("location_id", _I), ("polygon_geojson", _S))
-
 
 def ddl(schema: T.StructType) -> str:
     """Column list for ``CREATE TABLE`` / ``spark.read.schema`` from a StructType."""

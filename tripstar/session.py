@@ -15,7 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
-    # size-checked broadcasts checkpoint their (bounded) side; drop those files once unused
+    # shuffles start with many partitions and AQE joins small ones, so no plan is sized by hand
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    # checkpoints of iterative operators go once unused
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -28,31 +30,3 @@ def build_session(app_name: str = "tripstar", master: str | None = None, **conf:
     for key, value in {**DEFAULT_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-# Shuffle sizing: aim at ~512 MB of shuffle data per reduce partition (Parquet input roughly
-# doubles once decoded into shuffle rows) and stay below a count whose map x reduce block
-# matrix remains manageable.
-TARGET_SHUFFLE_PARTITION_BYTES = 512 * 1024 * 1024
-SHUFFLE_EXPANSION = 2.0
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (one file-system summary call, no data read)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
-
-
-def ensure_shuffle_partitions(spark: SparkSession, data_bytes: int) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` so a full shuffle of ``data_bytes`` of input gets
-    partitions of about ``TARGET_SHUFFLE_PARTITION_BYTES``; never lowers a configured value (AQE
-    still coalesces small stages at runtime). Returns the value in effect."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    need = int(min(MAX_SHUFFLE_PARTITIONS, -(-data_bytes * SHUFFLE_EXPANSION // TARGET_SHUFFLE_PARTITION_BYTES)))
-    if need > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(need))
-        return need
-    return current

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripstar import schemas
@@ -12,12 +14,30 @@ from tripstar.operators.geo import standardise_zone_lookup
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Monthly bronze files under ``path``.
 
-    With ``schema`` (recommended in production) no footer is merged and int/long drift of a
-    column is read through the declared wider type; without it the schema is discovered by
-    merging every file's footer (added columns become NULL in older files)."""
+    With ``schema`` no footer is read. Without it the schema is discovered by merging the footers:
+    columns that came later are NULL in older files, and declared columns are read through the
+    declared types, so that int/long drift between files does no harm."""
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return spark.read.schema(evolved_schema(spark, path)).parquet(path)
+
+
+def evolved_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The declared bronze columns, then every other column found in any file, then the partition
+    columns. If footers cannot be merged (a column's type drifted), the landing partitions are looked
+    at one by one; their number is bounded by the calendar."""
+    try:
+        found = [spark.read.option("mergeSchema", True).parquet(path).schema]
+    except AnalysisException:
+        raise
+    except Exception:  # noqa: BLE001 - footers that do not merge fail in a Spark job
+        fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        parts = [s.getPath().toString() for s in fs.listStatus(fs_path) if not s.getPath().getName().startswith(("_", "."))]
+        found = [spark.read.option("basePath", path).parquet(p).schema for p in sorted(parts)]
+    declared = {f.name: f for f in schemas.BRONZE_RIDES}
+    extra = {f.name: f for s in found for f in s if f.name not in declared}
+    return T.StructType([*declared.values(), *extra.values()])
 
 
 def read_partition_glob(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -28,8 +48,6 @@ def read_partition_glob(spark: SparkSession, root: str, glob: str = "*") -> Data
 
 def read_with_source_file(spark: SparkSession, path: str) -> DataFrame:
     """Single file or directory scan plus a ``source_file`` provenance column."""
-    from pyspark.sql import functions as F
-
     df = spark.read.parquet(path)
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
@@ -43,9 +61,10 @@ def _csv(spark: SparkSession, schema: T.StructType | None, null_value: str | Non
 
 def read_zone_reference_csv(spark: SparkSession, path: str) -> DataFrame:
     """Zone reference CSV (header; ``"`` both quote and escape, as the GeoJSON cells hold
-    commas and doubled quotes), read through the declared schema: no inference pass, and
-    ``h3_resolution`` stays INT even if written as ``8.0``-style text elsewhere."""
-    return _csv(spark, schemas.DIM_ZONE).csv(path)
+    commas and doubled quotes), read through a declared schema without an inference pass.
+    ``h3_resolution`` may be written as ``8`` or ``8.0``; it is read as a number and cast to INT."""
+    as_read = T.StructType([T.StructField(f.name, T.DoubleType() if f.name == "h3_resolution" else f.dataType) for f in schemas.DIM_ZONE])
+    return _csv(spark, as_read).csv(path).withColumn("h3_resolution", F.col("h3_resolution").cast("int"))
 
 
 def write_zone_reference_csv(df: DataFrame, path: str) -> None:

@@ -12,33 +12,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_scan(df, spread_key) if spread_key else df
-
-
-def spread_scan(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan over the cluster when it yields fewer input partitions than there are
-    task slots (e.g. one unsplittable Parquet row group), so the per-row derivations after it
-    run in parallel. A scan of a large table already has more splits than slots and is left
-    untouched, so at scale this adds no shuffle. Hash partitioning on a high-cardinality key is
-    deterministic under task retries without the local sort a round-robin repartition needs.
-    The decision uses planning metadata only."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots, key) if df.rdd.getNumPartitions() < slots else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _add_seconds(seconds: Column, ts: Column) -> Column:
     return F.timestamp_add("SECOND", seconds, ts)
 
 
-def bronze_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_rides(spark: SparkSession, sf_dir: str, with_month: bool = False) -> DataFrame:
     """Raw HVFHV-shaped ride rows: one per ``lineitem`` row, plus a re-sent copy of every
-    line whose order key is a multiple of 20 (duplicates for the dedupe step, tips + 1).
+    line whose order key is a multiple of 20 (duplicates for the dedupe step, tips + 1). First lines
+    of some orders break one rule each or leave its column NULL (``l_orderkey % 500``, see
+    :func:`_spoiled`). ``with_month`` adds ``source_month``, the month of the ship date: the file a
+    row came in, whatever its pickup time.
 
     The copy is produced with ``explode`` over a one- or two-element array, so ``lineitem``
     is scanned once (a ``union`` would scan it twice)."""
-    li = table(spark, sf_dir, "lineitem", spread_key="l_orderkey").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate",
     )
@@ -58,7 +49,8 @@ def bronze_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
         _add_seconds(F.when((ln == 6) & (q == 1), F.lit(0)).otherwise(q * 60 + ln), F.col("pickup_datetime")),
     )
     supp = F.col("l_suppkey")
-    return b.select(
+    out = b.select(
+        "l_orderkey", "l_linenumber", "l_shipdate",
         F.when(supp % 50 == 49, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("HV000"), (2 + supp % 4).cast("string"))).alias("hvfhs_license_num"),
         F.concat(F.lit("B0"), (supp % 9).cast("string")).alias("dispatching_base_num"),
@@ -70,7 +62,7 @@ def bronze_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dropoff_datetime",
         (F.col("l_partkey") % 267).cast("bigint").alias("PULocationID"),
         (1 + supp % 265).cast("bigint").alias("DOLocationID"),
-        (q / F.lit(2.0)).alias("trip_miles"),
+        ((q * 50 + F.col("l_orderkey") % 50) / F.lit(100.0)).alias("trip_miles"),
         (q * 60).cast("bigint").alias("trip_time"),
         F.col("l_extendedprice").alias("base_passenger_fare"),
         F.col("l_tax").alias("tolls"),
@@ -88,6 +80,33 @@ def bronze_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("N").alias("wav_request_flag"),
         F.when(ln == 1, F.lit("Y")).otherwise(F.lit("N")).alias("wav_match_flag"),
     )
+    out = _spoiled(out)
+    month = [F.date_format("l_shipdate", "yyyy-MM").alias("source_month")] if with_month else []
+    return out.select(*[c for c in out.columns if c not in ("l_orderkey", "l_linenumber", "l_shipdate")], *month)
+
+
+# For l_orderkey % 500, the column spoiled on first lines and its value.
+SPOILED = {
+    1: ("request_datetime", None), 2: ("pickup_datetime", None), 3: ("dropoff_datetime", None),
+    4: ("DOLocationID", 0), 5: ("DOLocationID", None), 6: ("PULocationID", None),
+    7: ("trip_time", 0), 8: ("trip_time", None),
+    **{10 + i: (c, -1.0) for i, c in enumerate((
+        "trip_miles", "base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge", "airport_fee", "tips", "driver_pay"))},
+    **{20 + i: (c, None) for i, c in enumerate((
+        "trip_miles", "base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge", "airport_fee", "tips", "driver_pay"))},
+}
+
+
+def _spoiled(df: DataFrame) -> DataFrame:
+    case = F.col("l_orderkey") % 500
+    out = {}
+    for c in df.columns:
+        value = F.col(c)
+        for k, (name, bad) in SPOILED.items():
+            if name == c:
+                value = F.when((F.col("l_linenumber") == 1) & (case == k), F.lit(bad).cast(df.schema[c].dataType)).otherwise(value)
+        out[c] = value
+    return df.withColumns(out)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -108,8 +127,7 @@ def zone_lookup_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = table(spark, sf_dir, "part").select(_zone_id().alias("LocationID")).distinct()
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     lid = F.col("LocationID")
-    # region has five rows by definition of the schema, so broadcasting it is bounded.
-    return ids.join(F.broadcast(region), (lid % 5) == region.r_regionkey, "left").select(
+    return ids.join(region, (lid % 5) == region.r_regionkey, "left").select(
         "LocationID",
         F.col("r_name").alias("Borough"),
         F.concat(F.lit("Zone_"), lid.cast("string")).alias("Zone"),
@@ -142,11 +160,11 @@ def _square(x0: str, y0: str, x1: str, y1: str, clockwise: Column) -> Column:
 
 def zone_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GeoJSON geometry rows ``(location_id, polygon_geojson)``: one per ``part`` row, so a zone
-    has several parts (or none, for ``IDS_WITHOUT_GEOMETRY``). Shapes: a square of side
+    has several parts (with a NULL polygon for ``IDS_WITHOUT_GEOMETRY``). Shapes: a square of side
     ``4 * p_size`` milli-degrees; every 10th part (key % 10 = 3) a two-square MultiPolygon, key %
     10 = 7 a square with an off-centre hole, key % 97 = 0 a zero-area square; key % 4 = 1 rings
     run clockwise."""
-    p = table(spark, sf_dir, "part", spread_key="p_partkey").select("p_partkey", "p_size")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     k = F.col("p_partkey")
     p = p.select(
         _zone_id().alias("location_id"),
@@ -155,7 +173,7 @@ def zone_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 97 == 0, F.lit(0)).otherwise(F.col("p_size")).alias("h"),
         (k % 10).alias("shape"),
         (k % 4 == 1).alias("cw"),
-    ).filter(~F.col("location_id").isin(*IDS_WITHOUT_GEOMETRY))
+    )
     # coordinate texts are computed once per row as columns; the rings only concatenate them
     x0, y0, h = F.col("x0"), F.col("y0"), F.col("h")
     p = p.select("location_id", "shape", "cw", *[_deg(v).alias(n) for n, v in (
@@ -175,4 +193,4 @@ def zone_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
               F.concat(F.lit('{"type": "Polygon", "coordinates": ['), outer, F.lit(","), hole, F.lit("]}")))
         .otherwise(F.concat(F.lit('{"type": "Polygon", "coordinates": ['), outer, F.lit("]}")))
     )
-    return p.select("location_id", geojson.alias("polygon_geojson"))
+    return p.select("location_id", F.when(~F.col("location_id").isin(*IDS_WITHOUT_GEOMETRY), geojson).alias("polygon_geojson"))

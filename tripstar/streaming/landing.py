@@ -1,63 +1,33 @@
-"""Watched-directory landing: every new Parquet file in ``landing_dir`` is appended to bronze
+"""Watched-directory landing: every new Parquet file below ``landing_dir`` is appended to bronze
 exactly once (the file source records processed files in the checkpoint). ``availableNow``
 processes what is there and stops, so the job runs on the monthly schedule like a batch job but
 never re-ingests a file, and survives restarts through its checkpoint."""
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQueryListener
-
-
-class _RowCounter(StreamingQueryListener):
-    """Adds up ``numInputRows`` of every micro-batch of one query (``recentProgress`` keeps only
-    the last few batches, so a long backlog would be under-counted from it)."""
-
-    def __init__(self) -> None:
-        self.rows: dict[str, int] = {}
-        self.last_batch: dict[str, int] = {}
-
-    def onQueryStarted(self, event) -> None:  # noqa: N802 - listener API
-        pass
-
-    def onQueryProgress(self, event) -> None:  # noqa: N802
-        p = event.progress
-        self.rows[str(p.id)] = self.rows.get(str(p.id), 0) + int(p.numInputRows)
-        self.last_batch[str(p.id)] = max(self.last_batch.get(str(p.id), -1), int(p.batchId))
-
-    def onQueryIdle(self, event) -> None:  # noqa: N802
-        pass
-
-    def onQueryTerminated(self, event) -> None:  # noqa: N802
-        pass
 
 
 def land_new_files(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint_dir: str,
                    schema: T.StructType, max_files_per_trigger: int | None = None) -> int:
-    """Append unseen landing files to ``bronze_dir`` (with ``source_file``); returns the number
-    of rows appended by this run."""
-    reader = spark.readStream.schema(schema)
+    """Append unseen landing files to ``bronze_dir`` (with ``source_file``); returns the number of rows
+    appended by this run, counted from the committed files of the sink (their footers alone)."""
+    landed = T.StructType([*schema.fields, T.StructField("source_file", T.StringType())])
+
+    def rows() -> int:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(bronze_dir)
+        there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        return spark.read.schema(landed).parquet(bronze_dir).count() if there else 0
+
+    before = rows()
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(landing_dir).withColumn("source_file", F.col("_metadata.file_path"))
-    counter = _RowCounter()
-    spark.streams.addListener(counter)
-    try:
-        query = (stream.writeStream.format("parquet").option("path", bronze_dir)
-                 .option("checkpointLocation", checkpoint_dir).outputMode("append")
-                 .trigger(availableNow=True).start())
-        query.awaitTermination()
-        # listener events arrive asynchronously: wait (bounded) until the final batch's has come
-        last = query.lastProgress
-        qid = str(query.id)
-        if last is not None:
-            deadline = time.monotonic() + 30
-            while counter.last_batch.get(qid, -1) < int(last["batchId"]) and time.monotonic() < deadline:
-                time.sleep(0.05)
-        return counter.rows.get(str(query.id), 0)
-    finally:
-        spark.streams.removeListener(counter)
+    query = (stream.writeStream.format("parquet").option("path", bronze_dir)
+             .option("checkpointLocation", checkpoint_dir).outputMode("append")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return rows() - before
