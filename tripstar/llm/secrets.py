@@ -38,7 +38,9 @@ KINDS = ("assign", "access", "hex", "random")
 
 TOKEN_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 TOKEN = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
-MIN_TOKEN, MIN_MEAN, MIN_SUM = 16, 1.5, 30.0
+MIN_TOKEN, MIN_MEAN, MIN_SUM = 16, 3.0, 45.0
+# Weight of a character's own frequency, mixed with the uniform one, against the pairs that begin alike.
+PRIOR = 5.0
 MASK = "[SECRET]"
 
 _N = len(TOKEN_CHARS)
@@ -99,8 +101,9 @@ def fit_ratio(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     for name in ("random", "ordinary"):
         flat = np.zeros(size)
         flat[rows["cell"]] = rows[name]
-        pairs = flat.reshape(_N + 1, _N + 1)[:_N, :_N] + 0.5
-        models.append(pairs / pairs.sum(axis=1, keepdims=True))
+        pairs = flat.reshape(_N + 1, _N + 1)[:_N, :_N]
+        single = (pairs.sum(axis=0) / max(1.0, pairs.sum()) + 1 / _N) / 2
+        models.append((pairs + PRIOR * single) / (pairs.sum(axis=1, keepdims=True) + PRIOR))
     return np.log(0.5 * models[0] + 0.5 / _N) - np.log(models[1])
 
 

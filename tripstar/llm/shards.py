@@ -96,9 +96,12 @@ def best_fit_decreasing(sizes: list[int], capacity: int, max_bins: int | None =
 
 def equal_shards(sizes: list[int], shards: int) -> list[int]:
     """Bins of falling ``sizes`` under the smallest capacity that best-fit-decreasing fills with at
-    most ``shards`` bins."""
+    most ``shards`` bins. Sizes beyond an even share of what is left take a bin each and leave the
+    others to share the rest evenly."""
     if not sizes:
         return []
+    if shards > 1 and len(sizes) > 1 and sizes[0] * shards > sum(sizes):
+        return [0, *(1 + b for b in equal_shards(sizes[1:], shards - 1))]
     low, high = max(1, -(-sum(sizes) // shards)), sum(sizes)
     best = best_fit_decreasing(sizes, high, shards)
     while low < high:
