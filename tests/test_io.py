@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from helpers import bronze_df, ride
 from tripstar import schemas
-from tripstar.plans.publish import register_gold_tables, run_statements, sync_partitions, write_table
+from tripstar.plans.publish import register_gold_tables, remove_partitions, run_statements, sync_partitions, write_table
 from tripstar.sources import files
 from tripstar.sources.manifest import TLC_FHVHV_BASE_URL, manifest_for_years
 
@@ -25,13 +25,14 @@ def _fact(spark, rows):
     return fact_rides(bronze_to_silver(bronze_df(spark, rows)).silver)
 
 
-def test_partitioned_write_and_dynamic_overwrite(spark, tmp_dir):
+def test_partitions_are_replaced_alone(spark, tmp_dir):
     root = f"{tmp_dir}/fact"
     write_table(_fact(spark, _month_rows(1) + _month_rows(2)), root, schemas.FACT_PARTITION_COLUMNS)
     assert sorted(os.listdir(f"{root}/year=2024")) == ["month=1", "month=2"]
     # rewrite the partition of 2024-02-01 only (a new, longer ride): every other day stays untouched
     redo = [dict(r, trip_miles=9.0) for r in _month_rows(2, n=1)]
-    write_table(_fact(spark, redo), root, schemas.FACT_PARTITION_COLUMNS, dynamic_overwrite=True)
+    remove_partitions(spark, root, ["year=2024/month=2/day=1", "year=2024/month=3/day=1"])
+    write_table(_fact(spark, redo), root, schemas.FACT_PARTITION_COLUMNS, mode="append")
     back = spark.read.parquet(root)
     assert back.filter("month = 1").count() == 3 and back.filter("month = 2").count() == 3
     assert [r.distance for r in back.filter("month = 2 AND day = 1").collect()] == [9.0]
@@ -61,7 +62,7 @@ def test_merge_schema_and_int_long_drift(spark, tmp_dir):
     old.write.parquet(f"{root}/m=1")
     new.write.parquet(f"{root}/m=2")
     merged = files.read_bronze(spark, root)
-    assert set(merged.columns) == {"PULocationID", "trip_miles", "cbd_congestion_fee", "m"}
+    assert merged.columns == [f.name for f in schemas.BRONZE_RIDES] + ["cbd_congestion_fee", "m"]
     assert sorted((r.PULocationID, r.cbd_congestion_fee) for r in merged.collect()) == [(1, None), (2, 0.75)]
     # int in one file, long in another: merging fails, the declared wider schema reads both
     drift = f"{tmp_dir}/drift"
@@ -72,6 +73,12 @@ def test_merge_schema_and_int_long_drift(spark, tmp_dir):
     wide = T.StructType([T.StructField("PULocationID", T.LongType())])
     got = sorted(r[0] for r in spark.read.schema(wide).parquet(f"{drift}/a", f"{drift}/b").collect())
     assert got == [1, 2**40]
+    # the same between monthly partitions, with a column that came later
+    monthly = f"{tmp_dir}/monthly"
+    spark.createDataFrame([(1,)], "PULocationID INT").write.parquet(f"{monthly}/source_month=2024-01")
+    spark.createDataFrame([(2**40, 0.5)], "PULocationID BIGINT, fee DOUBLE").write.parquet(f"{monthly}/source_month=2024-02")
+    got = files.read_bronze(spark, monthly).select("PULocationID", "fee", F.col("source_month").cast("string").alias("m")).collect()
+    assert sorted(map(tuple, got)) == [(1, None, "2024-01"), (2**40, 0.5, "2024-02")]
 
 
 def test_zone_csv_roundtrip_with_geojson(spark, tmp_dir):

@@ -45,7 +45,7 @@ def test_join_queries_start_no_job(spark):
         spark.sparkContext.setJobGroup(f"build-{name}", name)
         QUERIES[name](spark, SF_SMALL)
         # reading the footers of a table for its schema is the only work
-        assert len(tracker.getJobIdsForGroup(f"build-{name}")) <= 3, name
+        assert len(tracker.getJobIdsForGroup(f"build-{name}")) <= 5, name
     spark.sparkContext.setJobGroup("", "")
 
 
