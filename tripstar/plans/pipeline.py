@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,13 +45,17 @@ class PipelineResult:
 def with_source_month(bronze: DataFrame) -> DataFrame:
     """Adds or cleans ``source_month`` (``yyyy-MM``): the landing partition if there is one, else the
     month in the file's name, else that of the pickup; ``unknown`` if none can be told."""
+    month: Column = F.date_format("pickup_datetime", "yyyy-MM")
     if MONTH in bronze.columns:
-        month: Column = F.col(MONTH).cast("string")
-    elif bronze.inputFiles():
-        name = F.regexp_extract(F.col("_metadata.file_name"), r"([0-9]{4}-[0-9]{2})\.[^/]*$", 1)
-        month = F.when(name != "", name).otherwise(F.date_format("pickup_datetime", "yyyy-MM"))
+        month = F.col(MONTH).cast("string")
     else:
-        month = F.date_format("pickup_datetime", "yyyy-MM")
+        try:
+            bronze.select("_metadata.file_name")
+        except AnalysisException:
+            pass  # not read from files
+        else:
+            name = F.regexp_extract(F.col("_metadata.file_name"), r"([0-9]{4}-[0-9]{2})\.[^/]*$", 1)
+            month = F.when(name != "", name).otherwise(month)
     known = month.rlike("^[0-9]{4}-(0[1-9]|1[0-2])$")
     return bronze.withColumn(MONTH, F.when(known, month).otherwise(F.lit(UNKNOWN_MONTH)))
 
