@@ -62,18 +62,18 @@ def main() -> None:
     dd, dz = spark.read.parquet(f"{scratch}/dim_date"), spark.read.parquet(f"{scratch}/dim_zone")
 
     jobs = [
-        ("Silver: validate + standardise + derive + dedupe (bronze read from Parquet)", res.silver),
+        ("Silver: validate + standardise + derive + dedupe + number (bronze read from Parquet)", res.silver),
         ("Quarantine branch (map-only)", res.quarantine),
         ("Fact build from silver (map-only)", G.fact_rides(silver)),
         ("Fact publish input: REBALANCE on the partition columns, sorted by zone within each day",
          G.fact_rides(silver).hint("rebalance", *schemas.FACT_PARTITION_COLUMNS)
          .sortWithinPartitions(*schemas.FACT_PARTITION_COLUMNS, "pu_location_id")),
-        ("Rides by pickup zone (aggregate first, broadcast dimension)", M.rides_by_pickup_zone(fact, dz)),
+        ("Rides by pickup zone (aggregate first, then join the dimension)", M.rides_by_pickup_zone(fact, dz)),
         ("FK orphan check (one pass over the fact)", M.fact_orphan_keys(fact, dd, dz)),
         ("Weekend days only (dynamic partition pruning of the fact scan)",
          M.rides_by_hour(M.for_calendar_days(fact, dd.filter("day_of_week IN ('Saturday', 'Sunday')")))),
         ("Date range (static partition pruning)", M.kpi_totals(M.for_dates(fact, "1996-01-01", "1996-03-31"))),
-        ("Zone reference (GeoJSON moments, per-zone sums, broadcast lookup)", inp.zone_reference),
+        ("Zone reference (GeoJSON moments, per-zone sums, join with the lookup)", inp.zone_reference),
     ]
     out = ["# Physical plans of the key jobs",
            "",
