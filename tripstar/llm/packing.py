@@ -23,7 +23,9 @@ columns are not looked at. Special-token strings in a text get the ids that the
 
 from __future__ import annotations
 
+import operator
 import pickle
+import string
 import zlib
 from fractions import Fraction
 
@@ -36,15 +38,20 @@ from pyspark.sql import functions as F
 from tripstar.llm.common import materialise, strings
 
 WINDOW, END_ID, CELLS = 2048, 1, 4096
-CACHE_WORDS = 400_000
+# Entries of either cache of a worker; about 200 bytes each.
+CACHE_WORDS = 1_000_000
 _SEPARATOR = "<|endoftext|>"
+_PUNCTUATION = string.punctuation
 
 
 class WordTokenizer:
-    """Token ids of whole texts from a bounded cache of words. The tokenizer drops white space and
-    never merges across it, so a text's ids are those of its words; unseen words of a batch are
-    encoded together, parted by a special token. Texts for which that does not hold (they contain a
-    special token's string or white space outside ASCII) are encoded as they are."""
+    """Token ids of whole texts from bounded caches of words and of word stems.
+
+    The tokenizer drops white space, folds case and never merges across white space or between
+    letters and other signs. So a text's ids are those of its words, and a word of letters followed
+    by ASCII punctuation has the ids of its stem, then those of the punctuation. Unseen stems of a
+    batch are encoded together, parted by a special token. Texts that contain a special token's string
+    are encoded as they are."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -53,40 +60,59 @@ class WordTokenizer:
         self.separator = self.tokenizer.token_to_id(_SEPARATOR)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
-        self.cache: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
+        self.words: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        # letter case is folded by the tokenizer, so words that differ in case alone share an entry
-        forms = list({w.lower() if w < "İ" and max(w) < "İ" else w for w in words})
-        for at in range(0, len(forms), 2000):
-            part = forms[at:at + 2000]
-            ids = self._encode(_SEPARATOR.join(part))
-            cuts = np.flatnonzero(ids == self.separator)
-            pieces = np.split(ids, cuts)
-            for w, piece in zip(part, pieces, strict=True):
-                self.cache[w] = (piece[1:] if len(piece) and piece[0] == self.separator else piece).tobytes()
-        for w in words:
-            if w not in self.cache:
-                self.cache[w] = self.cache[w.lower()]
+        joined = "\n".join(words)
+        if joined.isascii() or max(joined) < "\u0130":
+            folded = joined.lower().split("\n")
+        else:  # letters from U+0130 on may fold to more than one
+            folded = [w.lower() if max(w) < "\u0130" else w for w in words]
+        stems = [w.rstrip(_PUNCTUATION) for w in folded]
+        stems = [s if s.isalpha() else w for s, w in zip(stems, folded, strict=True)]
+        ends = [w[len(s):] for s, w in zip(stems, folded, strict=True)]
+        known = self.stems
+        known[""] = b""
+        new = list({*stems, *ends}.difference(known))
+        chunks = [new[at:at + 500] for at in range(0, len(new), 500)]
+        size = self.dtype.itemsize
+        for chunk, one in zip(chunks, self.tokenizer.encode_batch_fast([_SEPARATOR.join(c) for c in chunks], add_special_tokens=False), strict=True):
+            ids = np.array(one.ids, dtype=self.dtype)
+            cuts = (np.flatnonzero(ids == self.separator) * size).tolist()
+            raw = ids.tobytes()
+            known.update(zip(chunk, [raw[x:y] for x, y in zip([0, *(c + size for c in cuts)], [*cuts, len(raw)], strict=True)], strict=True))
+        get = known.__getitem__
+        self.words.update(zip(words, map(operator.add, map(get, stems), map(get, ends)), strict=True))
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of each text, as bytes of ``dtype``."""
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        if len(self.stems) > CACHE_WORDS:
+            self.stems.clear()
         split = [None if t is None else t.decode() for t in texts]
         plain = [t is not None and "<|" not in t for t in split]
         words = [t.split() if ok else [] for t, ok in zip(split, plain, strict=True)]
-        unseen = set().union(*words) - self.cache.keys()
+        unseen = set().union(*words).difference(self.words)
         if unseen:
             self._learn(list(unseen))
-        get = self.cache.__getitem__
-        return [b"".join(map(get, w)) if ok else self._encode(t or "").tobytes()
+        get = self.words.__getitem__
+        return [b"".join(map(get, w)) if ok else np.array(self.tokenizer.encode(t or "", add_special_tokens=False).ids, dtype=self.dtype).tobytes()
                 for t, ok, w in zip(split, plain, words, strict=True)]
 
 
+def process_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this Python worker with its caches: tasks that follow one another in a worker
+    share it. Task code is unpickled anew for each task, so it is kept beside the tokenizers library."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_word_tokenizers", {})
+    if path not in kept:
+        kept[path] = WordTokenizer(path)
+    return kept[path]
+
+
 class Mixture:
     """Tokens served from each queue before any point of the packed stream."""
 
@@ -181,7 +207,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str
     picked = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
 
     def run(batches):
-        coder = WordTokenizer(tokenizer)
+        coder = process_tokenizer(tokenizer)
         end = np.array([end_id], dtype=coder.dtype).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -224,69 +250,69 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, targets: dict[st
         mix, number, starts = pickle.loads(shared.value)
         state, at = None, 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256).to_pydict()
-                out = {n: [] for n in ("id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")}
-                rows = []
-                for i, source, ids, n, cell in zip(*(part[c] for c in ("id", "source", "ids", "n", "cell")), strict=True):
-                    q = number[source]
-                    if (q, cell) != state:
-                        state, at = (q, cell), starts[(q, cell)]
-                    rows.append((q, at, i, source, ids, n))
-                    at += n
-                done = 0
-                while done < len(rows):
-                    # rows of one queue that follow one another without a gap share their windows
-                    stop = done + 1
-                    while stop < len(rows) and rows[stop][0] == rows[done][0] and rows[stop][1] == rows[stop - 1][1] + rows[stop - 1][5]:
-                        stop += 1
-                    lay(mix, rows[done:stop], out)
-                    done = stop
-                if not with_ids:
-                    del out["ids"]
-                yield pa.RecordBatch.from_pydict({k: v if k != "id" else pa.array(v, batch.schema.field("id").type) for k, v in out.items()})
-
-    def lay(mix, rows, out):
-        q, first = rows[0][0], rows[0][1]
-        last = rows[-1][1] + rows[-1][5]
-        low, high = mix.window_of(q, first, window), mix.window_of(q, last - 1, window)
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                sources, cells_, n = (part.column(i).to_pylist() for i in (1, 4, 3))
+                queue, begin = [], []
+                for source, cell, size in zip(sources, cells_, n, strict=True):
+                    if (source, cell) != state:
+                        state, at = (source, cell), starts[(number[source], cell)]
+                    queue.append(number[source])
+                    begin.append(at)
+                    at += size
+                tokens_ = np.frombuffer(b"".join(part.column(2).to_pylist()), dtype=dtype).astype("<u4")
+                begin, n, queue = (np.array(x, dtype=np.int64) for x in (begin, n, queue))
+                first = np.concatenate([[0], np.cumsum(n)])
+                # rows of one queue that follow one another without a gap share their windows
+                edge = np.flatnonzero((queue[1:] != queue[:-1]) | (begin[1:] != begin[:-1] + n[:-1])) + 1
+                for x, y in zip([0, *edge], [*edge, len(n)], strict=True):
+                    row, start, length, sequence, offset = lay(mix, int(queue[x]), begin[x:y], n[x:y])
+                    row += x
+                    where = first[row] + start
+                    view = memoryview(tokens_).cast("B")
+                    crc = [zlib.crc32(view[a:b]) for a, b in zip((where * 4).tolist(), ((where + length) * 4).tolist(), strict=True)]
+                    cols = [part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), pa.array(start), pa.array(length),
+                            pa.array(crc, pa.int64()), pa.array(n[row]), pa.array(sequence), pa.array(offset)]
+                    names = ["id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+                    if with_ids:
+                        names.append("ids")
+                        cols.append(pa.array([tokens_[a:a + c].astype(np.int32) for a, c in zip(where, length, strict=True)], pa.list_(pa.int32())))
+                    yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    def lay(mix, q, begin, n):
+        """Pieces of consecutive documents of a queue: row, start, length, sequence, offset."""
+        last = int(begin[-1] + n[-1])
+        low, high = mix.window_of(q, int(begin[0]), window), mix.window_of(q, last - 1, window)
+        pieces = []
         for base in range(low, high + 1, 4096):
             top = min(high, base + 4095)
             served = mix.served(np.arange(base, top + 2, dtype=np.int64) * window)
-            taken = np.diff(served, axis=0)
-            before = taken[:, :q].sum(axis=1).tolist()
-            ends = served[:, q].tolist()
-            for _, at, i, source, ids, n in rows:
-                if at >= ends[-1] or at + n <= ends[0]:
-                    continue
-                k = max(0, int(np.searchsorted(served[:, q], at, side="right")) - 1)
-                pos = max(at, ends[0])
-                while pos < at + n and k < len(before):
-                    stop = min(at + n, ends[k + 1])
-                    if stop > pos:
-                        put(out, i, source, ids, n, pos - at, stop - pos, base + k, before[k] + pos - ends[k])
-                        pos = stop
-                    k += 1
-
-    def put(out, i, source, ids, n, start, length, k, offset):
-        if k < full:
-            pieces = [(start, length, k, offset)]
-        else:
-            pieces, begin = [], 0
-            for j, end in enumerate(cuts):
-                a, b = max(offset, begin), min(offset + length, end)
-                if a < b:
-                    pieces.append((start + a - offset, b - a, full + j, a - begin))
-                begin = end
-        for start, length, k, offset in pieces:
-            raw = np.frombuffer(ids, dtype=dtype, count=length, offset=start * (4 if wide else 2)).astype("<u4")
-            for name, value in (("id", i), ("source", source), ("start", start), ("length", length),
-                                ("ids_crc32", zlib.crc32(raw.tobytes())), ("doc_tokens", n), ("sequence_id", k), ("offset", offset)):
-                out[name].append(value)
-            if with_ids:
-                out["ids"].append(raw.astype(np.int32))
-
-    ordered = tokens.repartition("source", "cell").sortWithinPartitions("source", "cell", "id")
+            own = served[:, q]
+            before = np.diff(served[:, :q].sum(axis=1))
+            borders = own
+            if top == full:
+                # the last window's sequences end inside it
+                inner = own[-2] + np.array(cuts, dtype=np.int64) - before[-1]
+                borders = np.concatenate([own, inner[(inner > own[-2]) & (inner < own[-1])]])
+            a, b = max(int(begin[0]), int(own[0])), min(last, int(own[-1]))
+            points = np.unique(np.concatenate([[a, b], borders, begin]))
+            points = points[(points >= a) & (points <= b)]
+            if len(points) < 2:
+                continue
+            at = points[:-1]
+            k = np.searchsorted(own, at, side="right") - 1
+            row = np.searchsorted(begin, at, side="right") - 1
+            offset, sequence = before[k] + at - own[k], k + base
+            tail = np.flatnonzero(sequence == full)
+            if len(tail):
+                j = np.searchsorted(cuts, offset[tail], side="right")
+                sequence[tail] += j
+                offset[tail] -= np.array([0, *cuts])[j]
+            pieces.append((row, at - begin[row], np.diff(points), sequence, offset))
+        return tuple(np.concatenate(x) for x in zip(*pieces, strict=True))
+
+    # neighbouring cells meet in a task, so that its documents share windows
+    ordered = tokens.repartitionByRange("source", "cell").sortWithinPartitions("source", "cell", "id")
     return ordered.select("id", "source", "ids", "n", "cell").mapInArrow(place, schema).withColumnRenamed("id", id_col)
 
 
