@@ -16,12 +16,13 @@ equal strings, named by two 64-bit rolling hashes:
   ``LENGTH - REACH + 1`` bytes that both strings hold. Phrases whose trigger context occurs once are
   dropped unread;
 * suffixes of phrases: for a phrase with a repeated context that is no dictionary repeat (the first
-  and last phrases of a passage), every 400-byte suffix is looked up among those of the phrases with
-  the same context, of which one occurrence stands for each dictionary entry.
+  and last phrases of a passage), its 400-byte suffixes are looked up among those of the phrases with
+  the same context, of which one occurrence stands for each dictionary entry: first in blocks of
+  neighbouring starts, then, for the blocks that occur once (the very edge of a passage), one by one.
 
 Every step is a grouped count with partial sums or a join that can be split at a hot key. Only trigger
-rows (one for about ``REACH / 2`` bytes) are shuffled, texts twice: to cut the suffixes of the phrases
-in question and to remove the bytes found.
+rows (one for about ``REACH / 2`` bytes) are shuffled, texts twice: to cut out the phrases in question and
+to remove the bytes found.
 
 Defined cases: a null text is empty; shorter texts than ``LENGTH`` lose nothing; repeated rows are
 occurrences of each other; null ids are kept; strings never cross documents, and what is removed does
@@ -41,6 +42,8 @@ from tripstar.llm.common import map_batches, materialise, strings
 
 LENGTH, TRIGGER, REACH_BITS = 400, 16, 8
 REACH = 1 << REACH_BITS
+# Distances to the trigger that are first looked up together, as a power of two.
+BLOCK_BITS = 4
 SLICE_BYTES = 1 << 19
 KEYS = ("id", "th")
 
@@ -133,7 +136,7 @@ def _slices(texts: list[bytes]):
 
 
 def phrases(keyed: DataFrame, length: int, trigger: int, reach_bits: int) -> DataFrame:
-    """One row for each phrase of (id, th, text): id, th, lo, hi, k1, ka, kb."""
+    """One row for each phrase of (id, th, text): id, th, a (trigger), lo, hi (first and last start), k1, ka, kb."""
     def run(batches):
         hashes = _hashes()
         for batch in batches:
@@ -144,55 +147,116 @@ def phrases(keyed: DataFrame, length: int, trigger: int, reach_bits: int) -> Dat
                     (d, a, lo, hi), (k1, ka, kb) = parse(texts[x:y], hashes, length, trigger, reach_bits)
                     rows = pa.array(d + x)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0).take(rows), part.column(1).take(rows), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)),
+                        [part.column(0).take(rows), part.column(1).take(rows), pa.array(a.astype(np.int32)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)),
                          *(pa.array(k.view(np.int64)) for k in (k1, ka, kb))],
-                        names=["id", "th", "lo", "hi", "k1", "ka", "kb"])
+                        names=["id", "th", "a", "lo", "hi", "k1", "ka", "kb"])
 
-    return keyed.mapInArrow(run, "id long, th long, lo int, hi int, k1 long, ka long, kb long")
+    return keyed.mapInArrow(run, "id long, th long, a int, lo int, hi int, k1 long, ka long, kb long")
 
 
-def suffixes(wanted: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
-    """Each 400-byte string of the wanted phrases (id, th, lo, hi): id, th, s, ha, hb."""
-    lists = wanted.groupBy(*KEYS).agg(F.collect_list(F.struct("lo", "hi")).alias("parts"))
-    joined = keyed.join(lists, list(KEYS)).select("id", "th", "text", "parts")
+def contexts(wanted: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
+    """The bytes of the wanted phrases: id, th, lo, hi, a, open, data."""
+    lists = wanted.groupBy(*KEYS).agg(F.collect_list(F.struct("lo", "hi", "a", "open")).alias("parts"))
+    joined = keyed.join(lists, list(KEYS)).select("id", "th", F.col("text").cast("binary").alias("text"), F.explode("parts").alias("p"))
+    return joined.select("id", "th", "p.*", F.expr(f"substring(text, p.lo + 1, p.hi - p.lo + {length})").alias("data"))
+
+
+def blocks(phrase_bytes: DataFrame, length: int, bits: int) -> DataFrame:
+    """The starts of each phrase in blocks of ``2**bits`` distances to the trigger: id, th, lo, open,
+    block, first, last (starts), the hashes ka and kb of the text from the first start to the last one's
+    end, and kc of the bytes that all strings of a whole block hold."""
+    schema = "id long, th long, lo int, open boolean, first int, last int, ka long, kb long, kc long"
+
+    def run(batches):
+        one, two = _hashes()
+        for batch in batches:
+            rows = batch.select(["lo"]).to_pydict()
+            his, anchors, datas = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("hi", "a", "data"))
+            out = {n: [] for n in ("row", "first", "last")}
+            hashed = []
+            for i, (lo, hi, a, data) in enumerate(zip(rows["lo"], his, anchors, datas, strict=True)):
+                number = np.arange((a - hi) >> bits, ((a - lo) >> bits) + 1)
+                first = np.maximum(lo, a - ((number + 1) << bits) + 1)
+                last = np.minimum(hi, a - (number << bits))
+                raw = np.frombuffer(data, np.uint8)
+                shape = (a - first).astype(np.uint64) * _MIX + (last - first).astype(np.uint64) * _MIX2
+                p1 = one.prefix(raw)
+                core = a - lo - (number << bits)
+                hashed.append((one.of(p1, first - lo, last - lo + length), two.of(two.prefix(raw), first - lo, last - lo + length) + shape,
+                               one.of(p1, core, core + length - (1 << bits) + 1) + number.astype(np.uint64) * _MIX))
+                for n, v in (("row", np.full(len(number), i)), ("first", first), ("last", last)):
+                    out[n].append(v)
+            if not hashed:
+                continue
+            row = pa.array(np.concatenate(out["row"]))
+            base = [batch.column(batch.schema.get_field_index(c)).take(row) for c in ("id", "th", "lo", "open")]
+            rest = [pa.array(np.concatenate(out[n]).astype(np.int32)) for n in ("first", "last")]
+            keys = [pa.array(np.concatenate([h[j] for h in hashed]).view(np.int64)) for j in (0, 1, 2)]
+            yield pa.RecordBatch.from_arrays([*base, *rest, *keys],
+                                             names=["id", "th", "lo", "open", "first", "last", "ka", "kb", "kc"])
+
+    return phrase_bytes.mapInArrow(run, schema)
+
+
+def strings_of(wanted: DataFrame, phrase_bytes: DataFrame, length: int) -> DataFrame:
+    """Every string of ``length`` bytes of the wanted blocks (id, th, lo, first, last, open): id, th, s,
+    open, ha, hb."""
+    lists = wanted.groupBy("id", "th", "lo").agg(F.collect_list(F.struct("first", "last", "open")).alias("parts"))
+    joined = phrase_bytes.select("id", "th", "lo", "data").join(lists, ["id", "th", "lo"])
 
     def run(batches):
         one, two = _hashes()
         for batch in batches:
-            for i in range(batch.num_rows):
-                text = batch.column(2)[i].as_py()
-                data = np.frombuffer(text.encode() if isinstance(text, str) else text, np.uint8)
-                parts = batch.column(3)[i].as_py()
-                starts = np.unique(np.concatenate([np.arange(p["lo"], p["hi"] + 1) for p in parts]))
-                pa1, pa2 = one.prefix(data), two.prefix(data)
-                ids = pa.array(np.full(len(starts), i))
+            los, datas, parts = (batch.column(i).to_pylist() for i in (2, 3, 4))
+            got = []
+            for i, (lo, data, mine) in enumerate(zip(los, datas, parts, strict=True)):
+                raw = np.frombuffer(data, np.uint8)
+                p1, p2 = one.prefix(raw), two.prefix(raw)
+                for p in mine:
+                    at = np.arange(p["first"], p["last"] + 1)
+                    got.append((np.full(len(at), i), at, np.full(len(at), p["open"]), one.of(p1, at - lo, at - lo + length), two.of(p2, at - lo, at - lo + length)))
+            if got:
+                row, at, is_open, ha, hb = (np.concatenate(x) for x in zip(*got, strict=True))
+                row = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(ids), batch.column(1).take(ids), pa.array(starts.astype(np.int32)),
-                     pa.array(one.of(pa1, starts, starts + length).view(np.int64)), pa.array(two.of(pa2, starts, starts + length).view(np.int64))],
-                    names=["id", "th", "s", "ha", "hb"])
+                    [batch.column(0).take(row), batch.column(1).take(row), pa.array(at.astype(np.int32)), pa.array(is_open), pa.array(ha.view(np.int64)),
+                     pa.array(hb.view(np.int64))], names=["id", "th", "s", "open", "ha", "hb"])
 
-    return joined.mapInArrow(run, "id long, th long, s int, ha long, hb long")
+    return joined.mapInArrow(run, "id long, th long, s int, open boolean, ha long, hb long")
 
 
-def repeated_spans(keyed: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, reach_bits: int = REACH_BITS) -> DataFrame:
+def repeated_spans(keyed: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, reach_bits: int = REACH_BITS,
+                   block_bits: int = BLOCK_BITS) -> DataFrame:
     """(id, th, spans): for each document with repeats, the stretches [start, end) covered by
     repeated strings; they may overlap."""
     rows = phrases(keyed, length, trigger, reach_bits)
-    contexts = rows.groupBy("k1").agg(F.count("*").alias("n")).filter("n > 1").select("k1")
-    shared = materialise(rows.join(contexts, "k1", "left_semi"), "phrases")
+    again = rows.groupBy("k1").agg(F.count("*").alias("n")).filter("n > 1").select("k1")
+    shared = materialise(rows.join(again, "k1", "left_semi"), "phrases")
     dictionary = shared.groupBy("ka", "kb").agg(F.count("*").alias("n"))
-    counted = materialise(shared.join(dictionary, ["ka", "kb"]), "parse")
+    counted = materialise(shared.join(dictionary, ["ka", "kb"]), "dictionary")
     known, open_ = counted.filter("n > 1"), counted.filter("n = 1")
     # one occurrence of every dictionary entry that shares a context with an open phrase
     standing = (known.join(open_.select("k1").distinct(), "k1", "left_semi").groupBy("ka", "kb")
-                .agg(F.min(F.struct("id", "th", "lo", "hi")).alias("x")).select("x.*"))
-    wanted = open_.select("id", "th", "lo", "hi", F.lit(True).alias("open")).unionByName(
-        standing.withColumn("open", F.lit(False)))
-    cut = materialise(suffixes(wanted, keyed, length), "suffixes")
-    twice = cut.groupBy("ha", "hb").agg(F.count("*").alias("n")).filter("n > 1").select("ha", "hb")
-    found = cut.join(twice, ["ha", "hb"], "left_semi").select("id", "th", F.col("s").alias("start"), (F.col("s") + length).alias("end"))
+                .agg(F.min(F.struct("id", "th", "lo", "hi", "a")).alias("x")).select("x.*"))
+    wanted = open_.select("id", "th", "lo", "hi", "a", F.lit(True).alias("open")).unionByName(standing.withColumn("open", F.lit(False)))
+    data = materialise(contexts(wanted, keyed, length), "contexts")
+    cut = materialise(blocks(data, length, block_bits), "blocks")
+    # blocks whose common bytes occur once hold no repeated string
+    cores = cut.groupBy("kc").agg(F.count("*").alias("n")).filter("n > 1").select("kc")
+    cut = materialise(cut.join(cores, "kc", "left_semi"), "shared-blocks")
+    twice = cut.groupBy("ka", "kb").agg(F.count("*").alias("n")).filter("n > 1").select("ka", "kb")
+    closed = cut.filter("open").join(twice, ["ka", "kb"], "left_semi")
+    left = cut.filter("open").join(twice, ["ka", "kb"], "left_anti")
+    # of the other blocks with the same common bytes, one of each kind is looked at
+    beside = (cut.join(left.select("kc").distinct(), "kc", "left_semi").join(left.select("ka", "kb"), ["ka", "kb"], "left_anti")
+              .groupBy("ka", "kb").agg(F.min(F.struct("id", "th", "lo", "first", "last")).alias("x")).select("x.*"))
+    asked = left.select("id", "th", "lo", "first", "last", F.lit(True).alias("open")).unionByName(beside.withColumn("open", F.lit(False)))
+    single = materialise(strings_of(asked, data, length), "strings")
+    pairs = single.groupBy("ha", "hb").agg(F.count("*").alias("n")).filter("n > 1").select("ha", "hb")
+    found = single.filter("open").join(pairs, ["ha", "hb"], "left_semi").select("id", "th", F.col("s").alias("start"), (F.col("s") + length).alias("end"))
     whole = known.select("id", "th", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
-    return whole.unionByName(found).groupBy(*KEYS).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    block = closed.select("id", "th", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
+    return whole.unionByName(block).unionByName(found).groupBy(*KEYS).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def remove_spans(raw: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
