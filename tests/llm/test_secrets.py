@@ -1,7 +1,10 @@
 import hashlib
+import random
 import re
+import string
 
 import numpy as np
+from conftest import SF_SMALL
 
 from llm_helpers import odd
 from tripstar.llm import secrets as S
@@ -36,6 +39,32 @@ def test_models_tell_random_strings_from_words(spark):
     assert S.masked(TEXTS[0].encode(), ratio) == "x [SECRET]\" y"
 
 
+def test_keys_joined_to_ordinary_characters(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    ratio = S.fit_ratio(docs)
+    rng = random.Random(7)
+    path, setting, tail = "the/content/of/this/article/and/other/", "connection.string.of.the.server=", "/the/content/of/this/article"
+    spans = lambda text: S.all_spans(text.encode(), ratio)
+    assert spans(path + tail) == spans(setting) == []
+    hits, n = dict.fromkeys(("path", "setting", "inside", "two", "hex before", "hex after"), 0), 200
+    for _ in range(n):
+        key, other = ("".join(rng.choices(string.ascii_letters + string.digits, k=24)) for _ in range(2))
+        hexed = "".join(rng.choices("0123456789abcdef", k=32))
+        hits["path"] += key not in S.masked((path + key).encode(), ratio)
+        hits["setting"] += S.masked((setting + key).encode(), ratio).count(key[4:-4]) == 0
+        hits["inside"] += key[4:-4] not in S.masked((path + key + tail).encode(), ratio)
+        left = S.masked((setting + key + "/" + path + other + tail).encode(), ratio)
+        hits["two"] += key[4:-4] not in left and other[4:-4] not in left
+        hits["hex before"] += key[4:-4] not in S.masked((hexed + "/" + key).encode(), ratio)
+        hits["hex after"] += key[4:-4] not in S.masked((key + "." + hexed).encode(), ratio)
+    assert min(hits.values()) >= 0.97 * n, hits
+    # ordinary words before and after a key stay, and so does the base span beside it
+    key, hexed = "aZ93kdLq0xPqR7tY2wVbN8mC", "0123456789abcdef" * 2
+    left = S.masked(f"see {path}{key}{tail} now".encode(), ratio)
+    assert left.startswith("see the/content/of/this/article/") and left.endswith("the/content/of/this/article now") and left.count("[SECRET]") == 1
+    assert [(k, a, b) for a, k, b in spans(f"{key}/{hexed}")] == [(3, 0, 25), (2, 25, 57)]
+
+
 def test_odd_rows(spark):
     docs = odd.odd_docs(spark).unionByName(odd.odd_docs(spark).limit(1).withColumn("text", S.F.lit(TEXTS[0])).withColumn("doc_id", S.F.lit(99)))
     rows = S.scan_secrets(docs).collect()

@@ -8,9 +8,13 @@ one before it, over the token characters. One pass counts the character pairs of
 all texts, inside the tasks, so the numbers that leave a task are bounded by the square of the alphabet. The random model is mixed
 half and half with the uniform distribution, as secrets come in alphabets that the sample may lack.
 
-A second pass scores every run of at least ``MIN_TOKEN`` token characters that no base span touches:
-the mean log ratio of its pairs must reach ``MIN_MEAN`` and their sum ``MIN_SUM``. Such runs are added
-as spans of kind ``random``; base spans always stay.
+A second pass scores every run of at least ``MIN_TOKEN`` token characters, and where base spans lie in
+a run, the parts beside them: the mean log ratio of the pairs must reach ``MIN_MEAN`` and their sum
+``MIN_SUM``. A part that falls short as a whole may hold keys joined to ordinary characters, so its
+stretches of at least ``MIN_TOKEN`` characters are asked: the one with the greatest sum of log ratios
+above ``MIN_MEAN`` first, then what lies before and after it. A stretch ends at the borders of the
+letter-digit words that it cuts, so no end of a key stays. All these are added as spans of kind
+``random``; base spans always stay.
 
 Defined cases: a null or empty text has no spans; spans are in code points, end exclusive, by start,
 then by kind; an empty table gives no rows; without any base match the random model is uniform;
@@ -117,8 +121,41 @@ def _disjoint(spans) -> list[tuple[int, int]]:
     return out
 
 
+def random_stretches(part: str, ratio: np.ndarray, min_mean: float = MIN_MEAN, min_sum: float = MIN_SUM) -> list[tuple[int, int]]:
+    """Where token characters look random: the whole part, or the stretches inside it that do."""
+    codes = _CODE[np.frombuffer(part.encode(), np.uint8)]
+    scores = ratio[codes[:-1], codes[1:]]
+    total = float(scores.sum())
+    if total >= min_sum and total >= min_mean * len(scores):
+        return [(0, len(part))]
+    sums, over = (np.concatenate([[0.0], np.cumsum(x)]) for x in (scores, scores - min_mean))
+    least = MIN_TOKEN - 1  # pairs
+    found, todo = [], [(0, len(part))]
+    while todo:
+        a, b = todo.pop()
+        if b - a < MIN_TOKEN:
+            continue
+        p = over[a:b]
+        gain = p[least:] - np.minimum.accumulate(p[:len(p) - least])
+        last = int(gain.argmax())
+        if gain[last] < 0:
+            continue
+        first = int(p[:last + 1].argmin())
+        x, y = a + first, a + last + least
+        if sums[y] - sums[x] < min_sum:  # never at the module's thresholds: the least pairs at the least mean make the least sum
+            continue
+        y += 1
+        while x > a and part[x - 1].isalnum() and part[x].isalnum():
+            x -= 1
+        while y < b and part[y].isalnum() and part[y - 1].isalnum():
+            y += 1
+        found.append((x, y))
+        todo += [(a, x), (y, b)]
+    return sorted(found)
+
+
 def all_spans(raw: bytes | None, ratio: np.ndarray, min_mean: float = MIN_MEAN, min_sum: float = MIN_SUM) -> list[tuple[int, int, int]]:
-    """Base spans and the runs that look random, sorted."""
+    """Base spans and the runs, or stretches of runs, that look random, sorted."""
     if not raw:
         return []
     text = raw.decode()
@@ -126,13 +163,11 @@ def all_spans(raw: bytes | None, ratio: np.ndarray, min_mean: float = MIN_MEAN,
     taken = _disjoint((a, b) for a, _, b in base)
     found = []
     for m in TOKEN.finditer(text):
-        a, b = m.span()
-        if any(a < y and x < b for x, y in taken):
-            continue
-        codes = _CODE[np.frombuffer(m[0].encode(), np.uint8)]
-        total = float(ratio[codes[:-1], codes[1:]].sum())
-        if total >= min_sum and total >= min_mean * (b - a - 1):
-            found.append((a, 3, b))
+        at, end = m.span()
+        for x, y in [*(t for t in taken if at < t[1] and t[0] < end), (end, end)]:
+            if x - at >= MIN_TOKEN:
+                found += [(at + a, 3, at + b) for a, b in random_stretches(text[at:x], ratio, min_mean, min_sum)]
+            at = max(at, y)
     return sorted(base + found)
 
 
