@@ -21,6 +21,25 @@ def test_structured_and_plain_pages():
     assert H.main_text("<p>" + "long " * 50_000 + "<p><b>un<i>closed") == ("long " * 50_000).strip() + " unclosed"
 
 
+def test_articles_inside_chrome():
+    text = "The article goes on for a while, with a second clause and a third one, so that it counts."
+    article, side = f"<article><h1>Title</h1><p>{text}</p><div class='ad'>x</div></article>", "<div class='sidebar'><p>Other words</p></div>"
+    want = f"Title {text}"
+    for page in (f"<body><form action=x>{article}{side}</form>", f"<form><main>{article}</main></form>", f"<div class='content-with-sidebar'>{article}{side}</div>",
+                 f"<div class='no-sidebar'>{article}</div>", f"<div id='header-wrap'>{article}</div>", f"<div class='sidebar-right'>{article}</div>",
+                 f"<nav><a href=1>Home</a><div>{article}</div><footer>f</footer>", f"<header>Top{article}", f"<div><nav>Menu{article}</div>",
+                 f"<div class='menu'>Menu {article}", f"<form>{article}<div class='comments'><article>Great!</article></div></form>",
+                 f"{article}<ol class='comment-list'><article>Great!</article></ol>", f"<div class='sidebar-page'><main>{article}</main></div>"):
+        assert H.main_text(page) == want, page
+    assert H.main_text(f"<div class='no-sidebar'><p>{text}</p></div>") == text
+    # chrome stays chrome
+    for page in (f"<nav>{article}</nav>", f"<aside>{article}</aside>", f"<div role='navigation'>{article}</div>", f"<div style='display:none'>{article}",
+                 f"<form><p>{text}</p></form>", f"<p class='no-comments'>{text}</p>", f"<form><nav>{article}</nav></form>"):
+        assert H.main_text(page) == "", page
+    assert H.main_text(f"<div><p>{text}</p></div><div class='comments'><article>{'Great! ' * 40}</article></div>") == text
+    assert H.main_text(f"<form><article><nav>Menu</nav><p>{text}</p></article></form>") == text
+
+
 def test_whole_table_against_the_article_element(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     got = {r.page_id: r for r in H.extract_text(pages).collect()}

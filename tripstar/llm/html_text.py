@@ -10,6 +10,11 @@ zero; everything with weight between a surge and its dive is kept, in page order
 that short articles stay whole. On a page without such an element, if no block reaches ``SURGE``, the
 heaviest run of lines is kept.
 
+An ``article`` or ``main`` element that is not itself one of these starts afresh inside a form, an
+element that is never closed and one that only its class or id calls chrome. Where these words name
+texts of others (comments, related pages, sidebars), articles inside count only if the page has no
+text otherwise. Class names such as ``no-sidebar`` or ``with-menu`` tell the layout, not chrome.
+
 Pages are independent: one pass over the rows, no shuffle, memory bounded by a slice of pages.
 
 Defined cases: a null or empty html gives the empty text with 0 characters; unclosed elements end with
@@ -46,40 +51,65 @@ _CHROME_WORDS = frozenset(
     "toolbar skip teaser".split())
 # words that make a class name one of the article itself, whatever else it says
 _MAIN_WORDS = frozenset("article content main post entry story body".split())
+# words that make a class name tell which of these parts a page has or lacks
+_HAVING_WORDS = frozenset("no non not with without has have".split())
+_LAYOUT_WORDS = frozenset("nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer sidebar aside banner toolbar widget".split())
+# chrome words of elements that often hold articles which are not the page's own
+_OTHERS_WORDS = frozenset(
+    "footer foot sidebar aside ad ads advert adverts advertisement advertising sponsor sponsored promo promotion comment comments commentlist "
+    "disqus reply replies respond discussion related recommended recommendations widget teaser".split())
+# why an element is chrome, from what an article inside leaves behind to what it does not
+_NOT, _WORDS, _FORM, _OTHERS, _ELEMENT, _HIDDEN = range(6)
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd mark q s samp small span strike strong sub sup "
     "time tt u var wbr label button".split())
 
 
-def _is_chrome(name: str, attrs: str) -> bool:
-    if name in _CHROME:
-        return True
+def _chrome_kind(name: str, attrs: str) -> int:
+    kinds = [_FORM if name == "form" else _ELEMENT if name in _CHROME else _NOT]
     if name in ("html", "body", "main", "article") or "=" not in attrs and "hidden" not in attrs:
-        return False
+        return kinds[0]
     for m in _ATTR.finditer(attrs):
         value = (m[2] or m[3] or m[4] or "").strip()
         kind = m[1].lower()
         if kind == "role":
             if value.lower() in _ROLES:
-                return True
+                kinds.append(_ELEMENT)
         elif kind == "style":
             if re.search(r"display\s*:\s*none", value, re.I):
-                return True
+                kinds.append(_HIDDEN)
         elif kind == "aria-hidden":
             if value.lower() == "true":
-                return True
+                kinds.append(_HIDDEN)
         elif kind in ("class", "id"):
             for token in value.split():
                 words = [w.lower() for w in _WORD.findall(token)]
-                if _CHROME_WORDS.intersection(words) and not (_MAIN_WORDS.intersection(words) and words[-1] in _MAIN_WORDS):
-                    return True
-    return False
+                said = _CHROME_WORDS.intersection(words)
+                if _HAVING_WORDS.intersection(words[:-1]):
+                    said -= _LAYOUT_WORDS
+                if said and not (_MAIN_WORDS.intersection(words) and words[-1] in _MAIN_WORDS):
+                    kinds.append(_OTHERS if _OTHERS_WORDS.intersection(words) else _WORDS)
+    return max(kinds)
 
 
 def lines_of(page: str) -> list[tuple[str, bool, bool]]:
     """(text, chrome, main) of every block line; text in chrome is dropped but keeps its line."""
+    out, buried = _walk(page)
+    fresh = frozenset(at for at, kind in buried if kind < _OTHERS)
+    if fresh:
+        out, _ = _walk(page, fresh)
+    others = frozenset(at for at, kind in buried if kind <= _OTHERS)
+    if others - fresh and not any(text for text, _, _ in out):
+        out, _ = _walk(page, others)
+    return out
+
+
+def _walk(page: str, fresh: frozenset[int] = frozenset()) -> tuple[list[tuple[str, bool, bool]], list[tuple[int, int]]]:
+    """The lines, and of each article or main element in chrome its place and the strongest kind of
+    chrome around it; the elements at the places ``fresh`` leave it behind."""
+    buried: list[tuple[int, str, list[list]]] = []
     out: list[tuple[str, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, chrome from here on, main from here on
+    stack: list[tuple[str, bool, bool, list]] = []  # element, chrome from here on, main from here on, own [kind, closed by its tag]
     piece: list[str] = []
     linked = chars = 0
     in_link = 0
@@ -122,6 +152,7 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
         if closing:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
+                    stack[k][3][1] = True
                     del stack[k:]
                     break
                 if stack[k][0] in ("article", "main", "body") and name not in ("html", "body"):
@@ -129,10 +160,13 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
         elif not m[5].rstrip().endswith("/"):
             if name in ("p", "li") and stack and stack[-1][0] == name:
                 stack.pop()
-            now = (chrome or _is_chrome(name, m[5] or ""))
+            own = [_chrome_kind(name, m[5] or ""), False]
+            if chrome and name in ("article", "main"):
+                buried.append((m.start(), name, [x[3] for x in stack if x[3][0]]))
+            now = chrome and m.start() not in fresh or own[0] > _NOT
             if name in _INLINE and now and not chrome:
                 end_line()
-            stack.append((name, now, main or name in ("article", "main")))
+            stack.append((name, now, main or name in ("article", "main"), own))
         was = chrome
         chrome, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
         if was != chrome:
@@ -140,7 +174,12 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
             linked = chars = 0 if was else chars
     add(page[at:])
     end_line()
-    return out
+    kinds = []
+    for place, name, around in buried:
+        # what is never closed is forgotten, unless it hides; a main element is the page's own
+        left = [_WORDS if not closed and kind < _HIDDEN or kind == _OTHERS and name == "main" else kind for kind, closed in around]
+        kinds.append((place, max(left)))
+    return out, kinds
 
 
 def main_lines(lines: list[tuple[str, bool, bool]], width: int = WIDTH, surge: int = SURGE) -> list[str]:
