@@ -64,3 +64,15 @@ def test_odd_rows(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == [1, 2, 5, 6, 7, 8] and ids.count(None) == 1
     assert S.near_duplicates(odd.no_docs(spark)).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(40)) for w in ("alpha", "beta", "gamma", "delta")]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[0]), (3, texts[1]),  # an id in two components
+            (None, texts[2]), (None, texts[2]), (None, texts[2]),  # copies without ids
+            (None, texts[3]), (9, texts[3]), (9, texts[3])]  # an id before none, a repeated row
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = S.near_duplicates(docs)
+    assert found.select("fp").distinct().count() == 4
+    kept = sorted(((r.text, r.doc_id) for r in S.keep_one(docs).collect()), key=str)
+    assert kept == [(texts[0], 1), (texts[1], 1), (texts[3], 9), (texts[2], None)]

@@ -29,7 +29,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstar.llm.common import materialise, strings
@@ -209,29 +209,33 @@ def connected(links: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def _rooted(prints: DataFrame, least: F.Column, max_bits: int) -> DataFrame:
+    """(fp, least, root) of every class: the least value of its rows and its component's smallest print."""
+    classes = materialise(prints.groupBy("fp").agg(F.min(least).alias("least")), "classes")
+    roots = connected(class_links(classes.select("fp"), max_bits))
+    return classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id column, ``fp`` (the fingerprint as a signed long) and
     ``component_id`` (the smallest id reachable over links of at most ``max_bits`` bits)."""
     prints = materialise(docs.select(F.col(id_col), fingerprint_udf(shingle_words)(F.col(text_col)).alias("fp")), "fingerprints")
-    classes = materialise(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "classes")
-    roots = connected(class_links(classes.select("fp"), max_bits))
-    named = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = _rooted(prints, F.col(id_col), max_bits)
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(named.join(ids, "root").select("fp", "component_id"), "fp").select(id_col, "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """The rows of ``docs`` without near-copies: of each component the row with the smallest id stays
-    (one row, should that id be repeated); components without any id keep their rows."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **params)
-    stay = found.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(stay, id_col, "left_semi")
-    first = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    kept = kept.withColumn("__copy", F.row_number().over(first)).filter("__copy = 1").drop("__copy")
-    if found.filter(F.col("component_id").isNull()).isEmpty():
-        return kept
-    alone = found.filter(F.col("component_id").isNull()).select("fp").distinct()
-    nameless = docs.filter(F.col(id_col).isNull()).withColumn("__fp", fingerprint_udf(params.get("shingle_words", SHINGLE_WORDS))(F.col(text_col)))
-    return kept.unionByName(nameless.join(alone, F.col("__fp") == alone["fp"], "left_semi").drop("__fp"))
+def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near-copies: of each component one row stays, the one with the
+    smallest id (null ids come last; of equal ids a hash of the text decides)."""
+    names = [F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col)]
+    key = {f"__key{i}": F.xxhash64(F.lit(i), *names) for i in (1, 2)}  # 128 bits tell a row's id and text
+    prints = materialise(docs.select(F.col(id_col).alias("id"), *[c.alias(k) for k, c in key.items()],
+                                     fingerprint_udf(shingle_words)(F.col(text_col)).alias("fp")), "fingerprints")
+    least = F.struct(F.col("id").isNull().alias("nameless"), "id", *key)
+    stay = _rooted(prints, least, max_bits).groupBy("root").agg(F.min("least").alias("least")).select(*[f"least.{k}" for k in key])
+    # rows of the same id and text are one to the key
+    return docs.withColumns(key).join(stay, [*key], "left_semi").dropDuplicates([*key]).drop(*key)
