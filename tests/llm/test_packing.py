@@ -1,3 +1,4 @@
+import random
 import zlib
 from fractions import Fraction
 
@@ -7,6 +8,7 @@ from tokenizers import Tokenizer
 
 from llm_helpers import odd
 from tripstar.llm import packing as P
+from tripstar.llm.encoding import WordTokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -52,13 +54,28 @@ def test_windows_keep_the_target_shares():
 def test_word_tokenizer_is_the_tokenizer():
     texts = [r[1] for r in odd.ROWS if r[1] and len(r[1]) < 5000] + ["don't it's a_b 123abc!!", "x" * 300, "Ａｂ ﬁ ½", "école l'été", "ẞ ΣΣ"]
     plain = Tokenizer.from_file(PATH)
-    coder = P.WordTokenizer(PATH)
+    coder = WordTokenizer(PATH)
     for _ in range(2):
         got = [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode([t.encode() for t in texts])]
         assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
     assert coder.encode([None, b""]) == [b"", b""]
 
 
+def test_word_tokenizer_on_random_texts():
+    """All planes, control characters (U+001C to U+001F are no white space to the tokenizer), combining
+    marks and words whose lower case has another length."""
+    rng = random.Random(5)
+    pools = [range(0x20), range(0x20, 0x7F), range(0x80, 0x250), range(0x250, 0x600), range(0x300, 0x370), range(0x1E00, 0x2100),
+             range(0x3000, 0xD800), range(0xE000, 0xFFFE), range(0x10000, 0x110000)]
+    texts = ["a\x1cb", "\u0130.", "a<|endoftext|>.b <|startoftext|>", "<|", "x<|y.", "e\u0301. \u00c9", "don't. 'S o'RE"]
+    for _ in range(20_000):
+        near = [pools[1], *rng.choices(pools, k=2)]
+        texts.append("".join(chr(rng.choice(rng.choice(near))) for _ in range(rng.randint(1, 14))))
+    plain, coder = Tokenizer.from_file(PATH), WordTokenizer(PATH)
+    got = [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode([t.encode() for t in texts])]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_tail_cuts():
     assert P.tail_cuts(0) == [] and P.tail_cuts(1500) == [1024, 1280, 1408, 1472, 1488, 1496, 1500]
 

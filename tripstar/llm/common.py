@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +21,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: later readers do not recompute
-    it, and the files outlive any executor."""
+# Removes the shuffle files of a finished query at once.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Queries that run inside leave no shuffle files behind; the session's setting comes back after."""
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEAN, before)
+
+
+def materialise(df: DataFrame, name: str, path: str | None = None, **options: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder (or to ``path``) and read it back: later readers do not
+    recompute it, and the files outlive any executor. ``options`` go to the Parquet writer."""
     spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
-    # the cleaner removes the shuffle files of the finished job once the driver has collected its plan
-    spark.sparkContext._jvm.System.gc()
+    path = path or scratch_path(spark, f"llm-{name}")
+    with shuffles_removed(spark):
+        df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -23,9 +23,7 @@ columns are not looked at. Special-token strings in a text get the ids that the
 
 from __future__ import annotations
 
-import operator
 import pickle
-import string
 import zlib
 from fractions import Fraction
 
@@ -36,81 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstar.llm.common import materialise, strings
+from tripstar.llm.encoding import process_tokenizer
 
 WINDOW, END_ID, CELLS = 2048, 1, 4096
-# Entries of either cache of a worker; about 200 bytes each.
-CACHE_WORDS = 1_000_000
-_SEPARATOR = "<|endoftext|>"
-_PUNCTUATION = string.punctuation
-
-
-class WordTokenizer:
-    """Token ids of whole texts from bounded caches of words and of word stems.
-
-    The tokenizer drops white space, folds case and never merges across white space or between
-    letters and other signs. So a text's ids are those of its words, and a word of letters followed
-    by ASCII punctuation has the ids of its stem, then those of the punctuation. Unseen stems of a
-    batch are encoded together, parted by a special token. Texts that contain a special token's string
-    are encoded as they are."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.separator = self.tokenizer.token_to_id(_SEPARATOR)
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.dtype = np.dtype("<u4" if self.wide else "<u2")
-        self.words: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        joined = "\n".join(words)
-        if joined.isascii() or max(joined) < "\u0130":
-            folded = joined.lower().split("\n")
-        else:  # letters from U+0130 on may fold to more than one
-            folded = [w.lower() if max(w) < "\u0130" else w for w in words]
-        stems = [w.rstrip(_PUNCTUATION) for w in folded]
-        stems = [s if s.isalpha() else w for s, w in zip(stems, folded, strict=True)]
-        ends = [w[len(s):] for s, w in zip(stems, folded, strict=True)]
-        known = self.stems
-        known[""] = b""
-        new = list({*stems, *ends}.difference(known))
-        chunks = [new[at:at + 500] for at in range(0, len(new), 500)]
-        size = self.dtype.itemsize
-        for chunk, one in zip(chunks, self.tokenizer.encode_batch_fast([_SEPARATOR.join(c) for c in chunks], add_special_tokens=False), strict=True):
-            ids = np.array(one.ids, dtype=self.dtype)
-            cuts = (np.flatnonzero(ids == self.separator) * size).tolist()
-            raw = ids.tobytes()
-            known.update(zip(chunk, [raw[x:y] for x, y in zip([0, *(c + size for c in cuts)], [*cuts, len(raw)], strict=True)], strict=True))
-        get = known.__getitem__
-        self.words.update(zip(words, map(operator.add, map(get, stems), map(get, ends)), strict=True))
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """Ids of each text, as bytes of ``dtype``."""
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.stems) > CACHE_WORDS:
-            self.stems.clear()
-        split = [None if t is None else t.decode() for t in texts]
-        plain = [t is not None and "<|" not in t for t in split]
-        words = [t.split() if ok else [] for t, ok in zip(split, plain, strict=True)]
-        unseen = set().union(*words).difference(self.words)
-        if unseen:
-            self._learn(list(unseen))
-        get = self.words.__getitem__
-        return [b"".join(map(get, w)) if ok else np.array(self.tokenizer.encode(t or "", add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-                for t, ok, w in zip(split, plain, words, strict=True)]
-
-
-def process_tokenizer(path: str) -> WordTokenizer:
-    """The tokenizer of this Python worker with its caches: tasks that follow one another in a worker
-    share it. Task code is unpickled anew for each task, so it is kept beside the tokenizers library."""
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_word_tokenizers", {})
-    if path not in kept:
-        kept[path] = WordTokenizer(path)
-    return kept[path]
 
 
 class Mixture:
