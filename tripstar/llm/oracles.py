@@ -75,4 +75,36 @@ SELECT c.page_id, c.url, c.host, strftime(c.fetched, '%Y-%m-%d %H:%M:%S.%f') AS
 FROM captures c LEFT JOIN verdicts v ON v.host = c.host AND v.fetched = c.fetched
 """
 
-ORACLE_SQL = {"op3_url_lists": _OP3, "op1_quality_rules": _OP1}
+_OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+firsts AS (SELECT text, min(doc_id) AS lowest FROM d GROUP BY text),
+labelled AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+flags AS (SELECT part, len(ws) < 200 AS a, 100 * len(list_distinct(ws)) < 50 * len(ws) AS b,
+    100 * length(regexp_replace(d.text, '[^A-Z]+', '', 'g')) > 3 * length(d.text) AS c,
+    regexp_matches(d.text, '[#$%&*|]') AS d, coalesce(d.doc_id > lowest, false) AS e,
+    coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM d JOIN firsts USING (text) LEFT JOIN labelled USING (doc_id)),
+counts AS (SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS fails,
+    count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM flags GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (SELECT v.letter || w.letter || x.letter || y.letter || z.letter AS filter_order, [v.bit, w.bit, x.bit, y.bit, z.bit] AS bits
+  FROM letters v, letters w, letters x, letters y, letters z WHERE v.bit + w.bit + x.bit + y.bit + z.bit = 31
+    AND len(list_distinct([v.bit, w.bit, x.bit, y.bit, z.bit])) = 5),
+steps AS (SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS earlier
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5])::INT AS step)),
+taken AS (SELECT part, filter_order, step, own,
+    sum(n) FILTER (fails & (earlier | own) = 0) AS kept, sum(n) FILTER (fails & own > 0 AND fails & earlier = 0) AS removed,
+    sum(n) FILTER (fails & own > 0 AND fails & earlier > 0) AS redundant, sum(n) FILTER (fails = own) AS unique_fails,
+    sum(good) FILTER (fails & own > 0 AND fails & earlier = 0) AS good_lost,
+    sum(toxic) FILTER (fails & own > 0 AND fails & earlier = 0) AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  (sum(coalesce(removed, 0)) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM taken
+"""
+
+ORACLE_SQL = {"op3_url_lists": _OP3, "op1_quality_rules": _OP1, "op12_filter_audit": _OP12}

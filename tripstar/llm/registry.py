@@ -5,9 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tripstar.llm import decontaminate, html_text, langid, packing, passages, quality, secrets, shards, simhash, url_lists
+from tripstar.llm import (
+    decontaminate, filter_audit, html_text, langid, packing, passages, quality, secrets, shards, simhash, token_files, url_lists, whitening,
+)
 from tripstar.llm.common import table
 from tripstar.llm.oracles import ORACLE_SQL  # noqa: F401
+from tripstar.paths import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -85,6 +88,21 @@ def op10_sharding(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_token_files(spark, sf_dir):
+    """Written once to token files, then read back from them."""
+    path = scratch_path(spark, "llm-token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, TOKENIZER)
+    return token_files.id_checksums(token_files.read_tokens(spark, path))
+
+
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -96,4 +114,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
+    "op11_token_files": op11_token_files,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_whitening": op13_whitening,
 }
