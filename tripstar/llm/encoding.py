@@ -47,25 +47,28 @@ class WordTokenizer:
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
         self.letters = safe_letters(self.tokenizer)
-        self.drop = dict.fromkeys(self.letters)
         self.words: dict[bytes, bytes] = {}
         self.stems: dict[str, bytes] = {}
 
-    def _split(self, word: str) -> tuple[str, str]:
-        """The lower-case stem and the punctuation after it; ("", word) for other words."""
-        stem = word.rstrip(string.punctuation)
-        if not stem or stem.translate(self.drop):
-            return "", word
-        return stem.translate(self.letters), word[len(stem):]
+    def _parts(self, words: list[bytes]) -> tuple[list[str], list[str]]:
+        """The lower-case stem of every word and the punctuation after it; "" and the word for other words."""
+        joined = b"\n".join(words).decode()
+        unsafe = {c for c in set(joined) if c.isalpha() and ord(c) not in self.letters}
+        whole = joined.split("\n")
+        lower = [w.rstrip(string.punctuation) for w in joined.lower().split("\n")] if not unsafe else \
+            ["" if unsafe.intersection(w) else w.lower().rstrip(string.punctuation) for w in whole]
+        stems = [x if x.isalpha() else "" for x in lower]
+        return stems, [w[len(x):] for w, x in zip(whole, stems, strict=True)]
 
     def _learn(self, words: list[bytes]) -> None:
-        parts = [self._split(w.decode()) for w in words]
+        stems, ends = self._parts(words)
         known = self.stems
         known[""] = b""
-        new = list({x for pair in parts for x in pair}.difference(known))
+        new = list({*stems, *ends}.difference(known))
         alone = [x for x in new if "<|" in x]
-        joined = [x for x in new if "<|" not in x]
-        chunks = [joined[at:at + 500] for at in range(0, len(joined), 500)]
+        if alone:
+            new = [x for x in new if "<|" not in x]
+        chunks = [new[at:at + 500] for at in range(0, len(new), 500)]
         size = self.dtype.itemsize
         for chunk, one in zip(chunks, self.tokenizer.encode_batch_fast([_SEPARATOR.join(c) for c in chunks], add_special_tokens=False), strict=True):
             ids = np.array(one.ids, dtype=self.dtype)
@@ -75,7 +78,6 @@ class WordTokenizer:
         for x in alone:
             known[x] = np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
         get = known.__getitem__
-        stems, ends = zip(*parts, strict=True)
         self.words.update(zip(words, map(operator.add, map(get, stems), map(get, ends)), strict=True))
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
