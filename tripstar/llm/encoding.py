@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import operator
+import os
 import string
 import sys
 import types
@@ -10,8 +11,8 @@ import unicodedata
 
 import numpy as np
 
-# Entries of either cache of a worker; about 200 bytes each.
-CACHE_WORDS = 1_000_000
+# Entries of the caches of a worker; about 150 bytes each.
+CACHE_WORDS, CACHE_STEMS = 500_000, 300_000
 _SEPARATOR = "<|endoftext|>"
 # Letters that may stand in a stem lie below this code point.
 _STEM_LIMIT = 0x250
@@ -84,7 +85,7 @@ class WordTokenizer:
         """Ids of each text, as bytes of ``dtype``; none for a null."""
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        if len(self.stems) > CACHE_WORDS:
+        if len(self.stems) > CACHE_STEMS:
             self.stems.clear()
         words = [(t or b"").split() for t in texts]  # bytes split at ASCII white space alone
         get = self.words.__getitem__
@@ -98,6 +99,8 @@ class WordTokenizer:
 def process_tokenizer(path: str) -> WordTokenizer:
     """The tokenizer of this Python worker with its caches. Task code is unpickled anew for each task, so
     they are kept in a module of their own that lives as long as the worker."""
+    # tasks are the parallelism; threads of the library would only contend with them
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     kept = sys.modules.setdefault("tripstar_llm_worker", types.ModuleType("tripstar_llm_worker")).__dict__
     if path not in kept:
         kept[path] = WordTokenizer(path)
