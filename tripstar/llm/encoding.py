@@ -12,7 +12,7 @@ import unicodedata
 import numpy as np
 
 # Entries of the caches of a worker; about 150 bytes each.
-CACHE_WORDS, CACHE_STEMS = 500_000, 300_000
+CACHE_WORDS, CACHE_STEMS = 700_000, 400_000
 _SEPARATOR = "<|endoftext|>"
 # Letters that may stand in a stem lie below this code point.
 _STEM_LIMIT = 0x250
@@ -30,6 +30,23 @@ def safe_letters(tokenizer) -> dict[int, str]:
     return safe
 
 
+class _Numbers(dict):
+    """Numbers words as they are looked up; those met since the last call of :meth:`taken` wait in a list."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+    def taken(self) -> list[bytes]:
+        new, self.new = self.new, []
+        return new
+
+
 class WordTokenizer:
     """Token ids of whole texts from bounded caches of words and of word stems.
 
@@ -48,7 +65,8 @@ class WordTokenizer:
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
         self.letters = safe_letters(self.tokenizer)
-        self.words: dict[bytes, bytes] = {}
+        self.words = _Numbers()
+        self.ids: list[bytes] = []  # by the word's number
         self.stems: dict[str, bytes] = {}
 
     def _parts(self, words: list[bytes]) -> tuple[list[str], list[str]]:
@@ -79,21 +97,20 @@ class WordTokenizer:
         for x in alone:
             known[x] = np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
         get = known.__getitem__
-        self.words.update(zip(words, map(operator.add, map(get, stems), map(get, ends)), strict=True))
+        self.ids += map(operator.add, map(get, stems), map(get, ends))
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of each text, as bytes of ``dtype``; none for a null."""
         if len(self.words) > CACHE_WORDS:
-            self.words.clear()
+            self.words, self.ids = _Numbers(), []
         if len(self.stems) > CACHE_STEMS:
             self.stems.clear()
-        words = [(t or b"").split() for t in texts]  # bytes split at ASCII white space alone
-        get = self.words.__getitem__
-        try:
-            return [b"".join(map(get, w)) for w in words]
-        except KeyError:
-            self._learn(list(set().union(*words).difference(self.words)))
-            return [b"".join(map(get, w)) for w in words]
+        number = self.words.__getitem__
+        words = [list(map(number, (t or b"").split())) for t in texts]  # bytes split at ASCII white space alone
+        if new := self.words.taken():
+            self._learn(new)
+        get = self.ids.__getitem__
+        return [b"".join(map(get, w)) for w in words]
 
 
 def process_tokenizer(path: str) -> WordTokenizer:
