@@ -87,3 +87,36 @@ def test_zone_cells_do_not_depend_on_partitioning(spark):
         z = build_zone_reference(inp.lookup, inp.geometry.repartition(n, "polygon_geojson"))
         got.add(tuple(sorted(map(str, z.select("location_id", "centroid_lat", "centroid_lon", "geo_hash").collect()))))
     assert len(got) == 1
+
+
+def test_inverse_conic_of_a_published_example(spark):
+    """The worked example of the projection's published guidance (NAD27 / Texas South Central, US survey feet)."""
+    from tripstar.functions.projection import LambertConic, map_point
+
+    texas = LambertConic(28 + 23 / 60, 30 + 17 / 60, 27 + 50 / 60, -99.0, 2_000_000.0, 0.0, 20_925_832.164, 294.97870)
+    lon, lat = texas.degrees(F.lit(2_963_503.91), F.lit(254_759.80))
+    got = spark.range(1).select(lon.alias("lon"), lat.alias("lat")).first()
+    assert abs(got.lon + 96) < 1e-7 and abs(got.lat - 28.5) < 1e-7
+    x, y = map_point(texas, -96.0, 28.5)
+    assert abs(x - 2_963_503.91) < 0.01 and abs(y - 254_759.80) < 0.01
+
+
+def test_projected_shapes_round_trip(spark):
+    import json
+
+    from tripstar.functions.projection import NEW_YORK_LONG_ISLAND_FT as NY
+    from tripstar.functions.projection import map_point
+    from tripstar.operators.geo import project_geometry
+
+    assert [round(v, 6) for v in map_point(NY, -74.0, 40 + 10 / 60)] == [984250.0, 0.0]
+    ring = [[-74.2, 40.5], [-73.7, 40.5], [-73.7, 40.9], [-74.2, 40.9], [-74.2, 40.5]]
+    hole = [[-74.0, 40.6], [-74.0, 40.7], [-73.9, 40.7], [-74.0, 40.6]]
+    feet = [[list(map_point(NY, *p)) for p in r] for r in (ring, hole)]
+    rows = [(1, json.dumps({"type": "Polygon", "coordinates": feet})), (2, json.dumps({"type": "MultiPolygon", "coordinates": [feet, feet[:1]]})),
+            (3, None), (4, "no shape"), (5, '{"type": "Point", "coordinates": [1, 2]}'), (6, '{"type": "Polygon", "coordinates": "x"}')]
+    got = {r[0]: r[1] for r in project_geometry(spark.createDataFrame(rows, "location_id int, polygon_geojson string"), NY).collect()}
+    one, two = json.loads(got[1]), json.loads(got[2])
+    assert one["type"] == "Polygon" and two["type"] == "MultiPolygon" and len(two["coordinates"]) == 2
+    flat = [p for r in one["coordinates"] for p in r]
+    assert all(abs(a - b) < 1e-9 for p, q in zip(flat, ring + hole, strict=True) for a, b in zip(p, q, strict=True))
+    assert [got[i] for i in (3, 4, 5, 6)] == [None] * 4

@@ -51,9 +51,9 @@ def spatial_cell(lat: Column | str, lon: Column | str, level: int) -> Column:
 # ---------------------------------------------------------------------------------------------
 
 _RING = T.ArrayType(T.ArrayType(T.DoubleType()))
-_POLYGON = T.ArrayType(_RING)
-_MULTI = T.ArrayType(_POLYGON)
-_ENVELOPE = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
+GEOJSON_POLYGON = T.ArrayType(_RING)
+GEOJSON_MULTI = T.ArrayType(GEOJSON_POLYGON)
+GEOJSON_ENVELOPE = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
 
 
 def _zero() -> Column:
@@ -96,10 +96,10 @@ def geometry_moments(geojson: Column | str) -> Column:
     """``struct(a2, mx, my)`` of a GeoJSON Polygon / MultiPolygon string (ring 0 of each polygon
     is its shell, later rings are holes). NULL for NULL, unparsable or other geometry types.
     Moments add up across geometries, so several parts of one zone combine with ``sum``."""
-    env = F.from_json(_c(geojson), _ENVELOPE)
+    env = F.from_json(_c(geojson), GEOJSON_ENVELOPE)
     polygons = (
-        F.when(env.type == "Polygon", F.array(F.from_json(env.coordinates, _POLYGON)))
-        .when(env.type == "MultiPolygon", F.from_json(env.coordinates, _MULTI))
+        F.when(env.type == "Polygon", F.array(F.from_json(env.coordinates, GEOJSON_POLYGON)))
+        .when(env.type == "MultiPolygon", F.from_json(env.coordinates, GEOJSON_MULTI))
     )
     per_polygon = F.transform(
         polygons,

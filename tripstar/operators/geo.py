@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tripstar import schemas
 from tripstar.functions.columns import geometry_moments, moments_centroid, spatial_cell
+from tripstar.functions.projection import LambertConic, geojson_to_degrees
 from tripstar.operators.standardise import rename_columns
 
 # Default grid level of zone cells: 2^16 columns over 360 degrees, ~0.0055 degrees (~500 m at
@@ -34,6 +35,12 @@ def standardise_zone_lookup(lookup: DataFrame) -> DataFrame:
     )
 
 
+def project_geometry(geometry: DataFrame, projection: LambertConic) -> DataFrame:
+    """Geometry rows in map coordinates -> degrees, before anything is computed from them: the area centroid
+    of the projected shape is another point, and cells and the published GeoJSON are in degrees."""
+    return geometry.withColumn("polygon_geojson", geojson_to_degrees("polygon_geojson", projection))
+
+
 def geometry_centroids(geometry: DataFrame, level: int = DEFAULT_CELL_LEVEL) -> DataFrame:
     """Per geometry row: ``area`` (square degrees), ``centroid_lat``, ``centroid_lon`` (area
     centroid, may lie outside the shape), and ``geo_hash`` = spatial cell of the centroid.
