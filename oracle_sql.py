@@ -223,7 +223,62 @@ _MONTHLY_QUARANTINE = f"""SELECT {PREPARED_COLS}, CASE WHEN source_month[6:7] >=
   FROM (SELECT * REPLACE (coalesce(on_scene_datetime, request_datetime) AS on_scene_datetime) FROM spoiled) m
   WHERE NOT coalesce({COND}, false)"""
 
+_RESENT = """SELECT * EXCLUDE (l_orderkey, l_linenumber)
+  REPLACE (strftime(strptime(source_month || '-01', '%Y-%m-%d') {sign} INTERVAL 1 MONTH, '%Y-%m') AS source_month, tips + {tips} AS tips)
+  FROM spoiled WHERE trip_time % {every} = 0"""
+_CROSS = f"""SELECT * FROM (
+  SELECT *, date_diff('second', start_time, end_time) AS trip_duration_sec, CAST(year(start_time) AS INTEGER) AS year,
+    CAST(month(start_time) AS INTEGER) AS month, CAST(day(start_time) AS INTEGER) AS day
+  FROM (SELECT hvfhs_license_num, request_datetime, coalesce(on_scene_datetime, request_datetime) AS on_scene_datetime,
+      pickup_datetime AS start_time, dropoff_datetime AS end_time, TRY_CAST(PULocationID AS INTEGER) AS pu_location_id,
+      TRY_CAST(DOLocationID AS INTEGER) AS do_location_id, trip_miles AS distance, trip_time AS reported_duration_sec,
+      base_passenger_fare, tolls, bcf, sales_tax, congestion_surcharge, airport_fee, tips, driver_pay, source_month
+    FROM (SELECT * EXCLUDE (l_orderkey, l_linenumber) FROM spoiled
+      UNION ALL {_RESENT.format(sign='+', tips='-0.5E0', every=7)} UNION ALL {_RESENT.format(sign='-', tips='1.0E0', every=11)}) sent
+    WHERE {COND}) valid_sent) typed
+  QUALIFY row_number() OVER (PARTITION BY {NATURAL_KEY}
+    ORDER BY source_month, {', '.join(c.strip() + ' ASC NULLS FIRST' for c in TIEBREAK.split(','))}) = 1"""
+
+# NAD83 / New York Long Island (EPSG 2263) by its published parameters, in metres here; feet are converted first.
+_FT, _A, _E2 = "(1200.0E0 / 3937.0E0)", "6378137.0E0", "(2.0E0 / 298.257222101E0 - 1.0E0 / (298.257222101E0 * 298.257222101E0))"
+
+
+def _cone_t(degrees: str) -> str:
+    s = f"sin(radians({degrees}))"
+    return f"(tan(pi() / 4 - radians({degrees}) / 2) / pow((1 - sqrt({_E2}) * {s}) / (1 + sqrt({_E2}) * {s}), sqrt({_E2}) / 2))"
+
+
+def _cone_m(degrees: str) -> str:
+    return f"(cos(radians({degrees})) / sqrt(1 - {_E2} * pow(sin(radians({degrees})), 2)))"
+
+
+_P1, _P2, _P0 = "(41.0E0 + 2.0E0 / 60)", "(40.0E0 + 40.0E0 / 60)", "(40.0E0 + 10.0E0 / 60)"
+# the latitude by iterating its defining equation, other than the series of the library
+_PROJECTED = f"""
+WITH RECURSIVE cone AS (SELECT *, {_A} * m1 / (n * pow(t1, n)) AS r1, {_A} * m1 / (n * pow(t1, n)) * pow(t0, n) AS r0
+  FROM (SELECT *, ln(m1 / m2) / ln(t1 / t2) AS n FROM (SELECT {_cone_m(_P1)} AS m1, {_cone_m(_P2)} AS m2, {_cone_t(_P1)} AS t1,
+    {_cone_t(_P2)} AS t2, {_cone_t(_P0)} AS t0, sqrt({_E2}) AS e) a) b),
+squares AS (SELECT p_partkey, CAST(1 + p_partkey % 265 AS INTEGER) AS location_id, 930000 + (p_partkey % 23) * 5000 AS x,
+  130000 + (p_partkey % 31) * 5000 AS y, CASE WHEN p_partkey % 97 = 0 THEN 0 ELSE 400 * p_size END AS h FROM part),
+corners AS (SELECT p_partkey, i, {_FT} * (x + CASE WHEN i IN (1, 2) THEN h ELSE 0 END) - 300000.0E0 AS east,
+  {_FT} * (y + CASE WHEN i IN (2, 3) THEN h ELSE 0 END) AS north FROM squares, range(4) c(i)),
+cones AS (SELECT p_partkey, i, e, pow(sqrt(east * east + (r0 - north) * (r0 - north)) / r1, 1 / n) AS t,
+  degrees(atan2(east, r0 - north) / n) - 74 AS lon FROM corners, cone),
+turns AS (SELECT p_partkey, i, e, t, lon, pi() / 2 - 2 * atan(t) AS phi, 0 AS turn FROM cones
+  UNION ALL SELECT p_partkey, i, e, t, lon, pi() / 2 - 2 * atan(t * pow((1 - e * sin(phi)) / (1 + e * sin(phi)), e / 2)), turn + 1
+  FROM turns WHERE turn < 8),
+points AS (SELECT p_partkey, i, lon, degrees(phi) AS lat FROM turns WHERE turn = 8),
+edges AS (SELECT a.p_partkey, a.lon - o.lon AS x1, a.lat - o.lat AS y1, b.lon - o.lon AS x2, b.lat - o.lat AS y2, o.lon AS ox, o.lat AS oy
+  FROM points a JOIN points b ON b.p_partkey = a.p_partkey AND b.i = (a.i + 1) % 4 JOIN points o ON o.p_partkey = a.p_partkey AND o.i = 0),
+moments AS (SELECT p_partkey, any_value(ox) AS ox, any_value(oy) AS oy, sum(x1 * y2 - x2 * y1) AS a2,
+  sum((x1 + x2) * (x1 * y2 - x2 * y1)) AS mx, sum((y1 + y2) * (x1 * y2 - x2 * y1)) AS my FROM edges GROUP BY p_partkey)
+SELECT s.p_partkey, s.location_id, CASE WHEN s.p_partkey % 89 <> 0 THEN round(abs(a2) / 2, 8) END AS area,
+  CASE WHEN s.p_partkey % 89 <> 0 AND h > 0 THEN round(oy + my / (3 * a2), 6) END AS centroid_lat,
+  CASE WHEN s.p_partkey % 89 <> 0 AND h > 0 THEN round(ox + mx / (3 * a2), 6) END AS centroid_lon
+FROM squares s JOIN moments m ON m.p_partkey = s.p_partkey"""
+
 ORACLE_SQL: dict[str, str] = {
+    "zone_centroid_projected": _PROJECTED,
     "bronze_scan_merge_schema": _q(f"""SELECT hvfhs_license_num, dispatching_base_num, originating_base_num,
   request_datetime, on_scene_datetime, pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, trip_miles,
   trip_time, base_passenger_fare, tolls, bcf, sales_tax, congestion_surcharge,
@@ -334,6 +389,9 @@ ORACLE_SQL: dict[str, str] = {
     "csv_as_strings": _q("""SELECT CAST(LocationID AS VARCHAR) AS "LocationID", Borough AS "Borough", Zone AS "Zone", service_zone FROM lookup_raw"""),
     "zone_centroids_csv": _q(f"SELECT location_id, {r6('centroid_lat')}, {r6('centroid_lon')} FROM zone_ref"),
     "zone_csv_float_resolution": _q(f"SELECT {ZONE_REF_OUT} FROM zone_ref"),
+    "cross_file_dedupe": _q(_CROSS),
+    "quarantine_history_rerun": _q(f"""SELECT CASE WHEN source_month[6:7] >= '07' THEN '2' ELSE '1' END AS run_id, source_month,
+  CAST(count(*) AS BIGINT) AS n_rows FROM ({_MONTHLY_QUARANTINE}) q GROUP BY source_month"""),
     "incremental_months_silver": _q(f"SELECT {SILVER_NO_ID}, strftime(request_datetime, '%Y-%m') AS source_month FROM silver"),
     "incremental_months_quarantine": _q(f"{_MONTHLY_QUARANTINE}"),
     "incremental_months_fact": _q(f"SELECT {FACT_NO_ID} FROM fact"),

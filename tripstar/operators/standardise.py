@@ -4,7 +4,7 @@ chain into one projection and keeps column pruning and filter pushdown intact.""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,17 +77,26 @@ def month_number(source_month: Column) -> Column:
     return F.when(known, F.substring(source_month, 1, 4).try_cast("long") * 12 + F.substring(source_month, 6, 2).try_cast("long")).otherwise(F.lit(0).cast("long"))
 
 
-def add_trip_id(df: DataFrame, key: Iterable[str] = schemas.NATURAL_KEY, month: Column | None = None) -> DataFrame:
+def add_trip_id(df: DataFrame, key: Iterable[str] = schemas.NATURAL_KEY, month: Column | None = None,
+                by_range: Sequence[str] = ()) -> DataFrame:
     """Surrogate ``trip_id`` (BIGINT) of rows that are distinct on (month, key): the month number, a
     hash cell of the key and the rank of the key inside (month, cell). Unique by construction, also over
     months that are loaded one after another, and a function of the month's rows alone: partitioning,
     retries and other months do not change it. Costs one shuffle on (month, cell); the cells keep a
-    month with a third of all rows from meeting in one task."""
+    month with a third of all rows from meeting in one task.
+
+    ``by_range`` names columns that tell the month (the partition columns of a write): the rows are then
+    ranged over them and the cell, so each task has few of their values, in their order, and the write
+    needs no exchange of its own."""
     key = [_q(c) for c in key]
     m = month_number(F.date_format("start_time", "yyyy-MM") if month is None else month)
     cell = F.pmod(F.xxhash64(*key), F.lit(1 << ID_CELL_BITS))
-    inside = Window.partitionBy("__month", "__cell").orderBy(*key)
-    ranked = df.withColumns({"__month": m, "__cell": cell}).withColumn("__rank", F.row_number().over(inside).cast("long"))
+    placed = df.withColumns({"__month": m, "__cell": cell})
+    group = [*by_range, "__cell"] if by_range else ["__month", "__cell"]
+    if by_range:
+        placed = placed.repartitionByRange(*group)
+    inside = Window.partitionBy(*group).orderBy(*key)
+    ranked = placed.withColumn("__rank", F.row_number().over(inside).cast("long"))
     packed = F.shiftleft("__month", ID_MONTH_BIT).bitwiseOR(F.shiftleft("__cell", ID_RANK_BITS)).bitwiseOR(F.col("__rank"))
     return ranked.withColumn("trip_id", packed).drop("__month", "__cell", "__rank")
 

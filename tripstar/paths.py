@@ -46,6 +46,10 @@ class LakePaths:
     def gold(self, table: str) -> str:
         return self._p("gold", table)
 
+    def table(self, path: str) -> str:
+        """The name of a table of the lake: its path below the root."""
+        return path.removeprefix(self.root.rstrip("/") + "/")
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The session's shared checkpoint directory.

@@ -7,7 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tripstar import schemas
-from tripstar.operators.metrics import PREAGGREGATES, roll_up
+from tripstar.operators.metrics import PREAGGREGATES
+from tripstar.plans.lake import _fs, load_manifest, location, read_published
 
 
 def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), mode: str = "overwrite",
@@ -37,11 +38,6 @@ def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), mo
         spark.catalog.refreshByPath(path)
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def _has_data(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
@@ -56,11 +52,9 @@ def remove_partitions(spark: SparkSession, path: str, partitions: Iterable[str])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    return read_table(spark, path) if _has_data(spark, path) else None
+    """A table by its path: what the lake's manifest says of it, or else the Parquet files there."""
+    published = read_published(spark, path)
+    return spark.read.parquet(path) if published is None else published
 
 
 def run_statements(spark: SparkSession, statements: Iterable[str]) -> int:
@@ -101,15 +95,57 @@ def register_gold_tables(spark: SparkSession, database: str, gold_root: str) ->
 
 
 def sync_partitions(spark: SparkSession, table: str) -> None:
-    """Reconcile the catalog's partition list with the directories (adds new, drops vanished)."""
+    """Reconcile the catalog's partition list with the directories of a plain table (adds new, drops vanished)."""
     spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
-def publish_preaggregates(base: DataFrame, gold_root: str) -> dict[str, int]:
-    """Write ``agg_trips_daily / _by_zone / _by_hour / _by_company``, rolled up from the additive base."""
-    counts = {}
-    for name, key in PREAGGREGATES.items():
-        path = f"{gold_root.rstrip('/')}/{name}"
-        write_table(roll_up(base, key), path)
-        counts[name] = read_table(base.sparkSession, path).count()
-    return counts
+# The manifest that a catalog table was last synced with, and partitions of one ALTER TABLE statement.
+SYNCED, BATCH = "tripstar.manifest", 400
+
+
+def _spec(partition: str) -> str:
+    pairs = (step.split("=", 1) for step in partition.split("/"))
+    return "PARTITION (" + ", ".join(f"`{k}` = " + ("NULL" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{v}'") for k, v in pairs) + ")"
+
+
+def sync_statements(root: str, name: str, table: str, now: dict, before: dict | None, known: Iterable[str] | None = None) -> list[str]:
+    """``ALTER TABLE`` statements that take the catalog's table from the manifest entry ``before`` to ``now``:
+    only the partitions between them that differ. Without ``before``, ``known`` are the catalog's partitions."""
+    if not now["partitioned_by"]:
+        moved = before is None or before["partitions"] != now["partitions"]
+        return [f"ALTER TABLE {table} SET LOCATION '{location(root, name, now)}'"] if moved else []
+    old = dict.fromkeys(known or ()) if before is None else before["partitions"]
+    new = now["partitions"]
+    gone = sorted(p for p in old if p not in new)
+    moved = sorted(p for p, tag in new.items() if p in old and old[p] != tag)
+    added = sorted(p for p in new if p not in old)
+    out = [f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(map(_spec, gone[i:i + BATCH])) for i in range(0, len(gone), BATCH)]
+    out += [f"ALTER TABLE {table} {_spec(p)} SET LOCATION '{location(root, name, now, p)}'" for p in moved]
+    out += [f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"{_spec(p)} LOCATION '{location(root, name, now, p)}'" for p in added[i:i + BATCH])
+            for i in range(0, len(added), BATCH)]
+    return out
+
+
+def sync_catalog(spark: SparkSession, database: str, root: str) -> dict[str, int]:
+    """Point the gold tables of the catalog at the last published version. The tables keep the number of the manifest
+    that they were synced with, so only what changed since then is told to the catalog: a rerun of a month its days.
+    Returns the statements run for each table."""
+    root = root.rstrip("/")
+    manifest, ran, seen = load_manifest(spark, root), {}, {}
+    for name in sorted(n for n in manifest["tables"] if n.startswith("gold/")):
+        table = f"{database}.{name.removeprefix('gold/')}"
+        if not spark.catalog.tableExists(table):
+            continue
+        synced = spark.sql(f"SHOW TBLPROPERTIES {table} ('{SYNCED}')").first()["value"]
+        before = None
+        if synced.isdigit():
+            if synced not in seen:
+                seen[synced] = load_manifest(spark, root, int(synced), missing_ok=True)
+            before = (seen[synced] or {"tables": {}})["tables"].get(name)
+        known = None
+        if before is None and manifest["tables"][name]["partitioned_by"]:
+            known = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        statements = sync_statements(root, name, table, manifest["tables"][name], before, known)
+        ran[name] = run_statements(spark, statements)
+        run_statements(spark, [f"ALTER TABLE {table} SET TBLPROPERTIES ('{SYNCED}' = '{manifest['number']}')", f"REFRESH TABLE {table}"])
+    return ran

@@ -43,6 +43,17 @@ FROM_PREAGGREGATES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# Views that sessions have registered: (application, database) -> prefix -> range of dates.
+_registered: dict[tuple[str, str], dict[str, tuple[str | None, str | None]]] = {}
+
+
+def refresh_report_views(spark: SparkSession, database: str) -> None:
+    """Register the report views of this application anew: a temporary view keeps the directories of the
+    dimensions that it was planned with, and a publish gives them others."""
+    for prefix, (start, end) in _registered.get((spark.sparkContext.applicationId, database), {}).items():
+        register_report_views(spark, database, prefix, start, end)
+
+
 def register_report_views(spark: SparkSession, database: str, prefix: str = "",
                           start: str | None = None, end: str | None = None) -> list[str]:
     """Create or replace a temporary view per report (``<prefix><report>``) over the gold
@@ -61,4 +72,5 @@ def register_report_views(spark: SparkSession, database: str, prefix: str = "",
         df = M.agg_trips(fact, M.PREAGGREGATES[name]) if scoped else spark.table(f"{database}.{name}")
         df.createOrReplaceTempView(prefix + name)
         names.append(prefix + name)
+    _registered.setdefault((spark.sparkContext.applicationId, database), {})[prefix] = (start, end)
     return names

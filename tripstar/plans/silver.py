@@ -14,6 +14,8 @@ from tripstar.operators.standardise import (
     add_quarantine_id, add_trip_id, derive_trip_columns, drop_operational_columns, fill_on_scene, lenient_cast, rename_columns,
 )
 
+# The month of the file that a row came in.
+MONTH = "source_month"
 SILVER_COLUMNS = [f.name for f in schemas.SILVER_RIDES.fields] + [f.name for f in schemas.SILVER_DERIVED.fields]
 
 
@@ -29,17 +31,32 @@ def prepare(bronze: DataFrame) -> DataFrame:
     return fill_on_scene(drop_operational_columns(bronze))
 
 
-def validated_silver(valid: DataFrame) -> DataFrame:
-    """Valid rows -> standardised, derived, deduplicated silver with ``trip_id``. A ``source_month``
-    column, if there, stays beside the silver columns and is part of the key: a month's rows depend on
-    that month's files alone, so loading months together or one by one gives the same silver."""
-    month = ["source_month"] if "source_month" in valid.columns else []
+def _typed(valid: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Declared columns, derived ones and ``source_month``, if there."""
+    month = [MONTH] if MONTH in valid.columns else []
     renamed = lenient_cast(rename_columns(valid.drop("trip_id"), schemas.RIDE_RENAMES), schemas.SILVER_RIDES)
     declared = [f.name for f in schemas.SILVER_RIDES.fields if f.name != "trip_id"]
-    std = derive_trip_columns(renamed.select(*declared, *month))
-    deduped = dedupe(std, [*schemas.NATURAL_KEY, *month])
-    with_id = add_trip_id(deduped, month=F.col("source_month") if month else None)
-    return with_id.select(*SILVER_COLUMNS, *month)
+    return derive_trip_columns(renamed.select(*declared, *month)), month
+
+
+def validated_silver(valid: DataFrame) -> DataFrame:
+    """Valid rows -> standardised, derived, deduplicated silver with ``trip_id``: one row per natural key over
+    all files. With a ``source_month`` column (which then stays beside the silver columns) the earliest month
+    that has a key owns it; the month's survivor is the smallest row (see :func:`dedupe`)."""
+    std, month = _typed(valid)
+    rest = [c for c in std.columns if c not in schemas.NATURAL_KEY and c not in month]
+    deduped = dedupe(std, schemas.NATURAL_KEY, [*month, *rest])
+    return add_trip_id(deduped, month=F.col(MONTH) if month else None).select(*SILVER_COLUMNS, *month)
+
+
+def month_rides(valid: DataFrame, count_col: str) -> DataFrame:
+    """Valid rows of source months -> silver rows of each month by itself, in the order of their partitions: a
+    function of the month's files alone, whatever else is loaded with it. Which of the months that have a key
+    owns it is settled between the months' rows (:mod:`tripstar.plans.ownership`). ``count_col`` gets the number
+    of valid rows that a row stands for."""
+    std, _ = _typed(valid)
+    deduped = dedupe(std, [*schemas.NATURAL_KEY, MONTH], count_col=count_col)
+    return add_trip_id(deduped, month=F.col(MONTH), by_range=[MONTH]).select(*SILVER_COLUMNS, count_col, MONTH)
 
 
 def bronze_to_silver(bronze: DataFrame, on_null: str = "quarantine", rules: list | None = None) -> SilverResult:
@@ -51,7 +68,7 @@ def bronze_to_silver(bronze: DataFrame, on_null: str = "quarantine", rules: list
     rules = rules or R.ride_rules()
     prepared = prepare(bronze)
     quarantine = R.quarantine_rows(prepared, rules, on_null)
-    month = F.col("source_month") if "source_month" in bronze.columns else F.date_format("pickup_datetime", "yyyy-MM")
+    month = F.col(MONTH) if MONTH in bronze.columns else F.date_format("pickup_datetime", "yyyy-MM")
     return SilverResult(validated_silver(R.valid_rows(prepared, rules)), add_quarantine_id(quarantine, month), prepared)
 
 

@@ -18,13 +18,14 @@ from pyspark.sql import types as T
 
 from tripstar import schemas
 from tripstar.functions.columns import spatial_cell
+from tripstar.functions.projection import NEW_YORK_LONG_ISLAND_FT
 from tripstar.operators import gold as G
 from tripstar.operators import metrics as M
 from tripstar.operators import rules as R
 from tripstar.operators.dedupe import dedupe
 from tripstar.operators.geo import (
     DEFAULT_CELL_LEVEL, build_zone_reference, combine_zone_geometry, enrich_pickup_dropoff,
-    geometry_centroids, rides_by_cell, standardise_zone_lookup, zone_geometry_join, zones_without_geometry,
+    geometry_centroids, project_geometry, rides_by_cell, standardise_zone_lookup, zone_geometry_join, zones_without_geometry,
 )
 from tripstar.operators.limits import preview
 from tripstar.operators.standardise import (
@@ -62,7 +63,7 @@ class Inputs:
 
     @cached_property
     def bronze(self) -> DataFrame:
-        return testdata.bronze_rides(self.spark, self.sf_dir)
+        return feed(self.spark, self.sf_dir).drop("source_month")
 
     @cached_property
     def prepared(self) -> DataFrame:
@@ -128,20 +129,22 @@ def _once(spark, sf_dir: str, what: str, write: Callable[[str], None]) -> str:
     return _written[key]
 
 
-def _feed(spark, sf_dir) -> DataFrame:
-    """The feed with its source month; from July on, files have a column that earlier ones lack."""
-    return testdata.bronze_rides(spark, sf_dir, with_month=True)
+def feed(spark, sf_dir) -> DataFrame:
+    """The ride feed with its source month, derived from the shared tables once in a session and then read."""
+    path = _once(spark, sf_dir, "feed", lambda p: testdata.bronze_rides(spark, sf_dir, with_month=True).write.parquet(p))
+    return files.read_bronze(spark, path, T.StructType([*schemas.BRONZE_RIDES, T.StructField("source_month", T.StringType())]))
 
 
-def _eras(feed: DataFrame) -> list[DataFrame]:
+def _eras(rides: DataFrame) -> list[DataFrame]:
+    """From July on, files have a column that earlier ones lack."""
     late = F.substring("source_month", 6, 2) >= "07"
-    return [feed.filter(~late), feed.filter(late).withColumn("cbd_congestion_fee", F.lit(0.75))]
+    return [rides.filter(~late), rides.filter(late).withColumn("cbd_congestion_fee", F.lit(0.75))]
 
 
 def _landed(spark, sf_dir) -> str:
     """Monthly bronze files of both eras."""
     def write(root):
-        for era in _eras(_feed(spark, sf_dir)):
+        for era in _eras(feed(spark, sf_dir)):
             write_table(era, root, ("source_month",), mode="append")
     return _once(spark, sf_dir, "bronze_eras", write)
 
@@ -163,9 +166,9 @@ def q_source_file_scan(spark, sf_dir):
 def q_landing_append(spark, sf_dir):
     """Two landings in turn: each run appends the files that are new, and those once."""
     def write(root):
-        feed = Inputs(spark, sf_dir).bronze
+        rides = Inputs(spark, sf_dir).bronze
         for name, odd in (("first", 0), ("second", 1)):
-            feed.filter(F.pmod(F.xxhash64("base_passenger_fare", "dropoff_datetime"), F.lit(2)) == odd).write.parquet(f"{root}/landing/{name}")
+            rides.filter(F.pmod(F.xxhash64("base_passenger_fare", "dropoff_datetime"), F.lit(2)) == odd).write.parquet(f"{root}/landing/{name}")
             land_new_files(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", schemas.BRONZE_RIDES)
     root = _once(spark, sf_dir, "landing", write)
     return spark.read.parquet(f"{root}/bronze").drop("source_file")
@@ -306,6 +309,39 @@ def q_quarantine_history(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"))
 
 
+def q_quarantine_history_rerun(spark, sf_dir):
+    """A run of the history that first came with every row twice, and was then run again under its id."""
+    def write(root):
+        rides = feed(spark, sf_dir)
+        late = F.substring("source_month", 6, 2) >= "07"
+        for run, part in (("1", rides.filter(~late)), ("2", rides.filter(late).unionByName(rides.filter(late))), ("2", rides.filter(late))):
+            run_bronze_to_silver(spark, LakePaths(root), part, quarantine_mode="append", run_id=run)
+    root = _once(spark, sf_dir, "history_rerun", write)
+    return read_table(spark, LakePaths(root).quarantine_rides).groupBy("run_id", "source_month").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _resent(rides: DataFrame) -> DataFrame:
+    """The feed with rides that come again in the file of the next month or of the month before, with other tips."""
+    def moved(months: int, tips: float, which) -> DataFrame:
+        month = F.date_format(F.add_months(F.to_date(F.concat("source_month", F.lit("-01"))), months), "yyyy-MM")
+        return rides.filter(which).withColumns({"source_month": month, "tips": F.col("tips") + tips})
+    return rides.unionByName(moved(1, -0.5, F.col("trip_time") % 7 == 0)).unionByName(moved(-1, 1.0, F.col("trip_time") % 11 == 0))
+
+
+def q_cross_file_dedupe(spark, sf_dir):
+    """Silver of a feed whose files hold rides of one another, loaded in three increments, the last months first;
+    the middle ones are loaded once more in the end."""
+    def write(root):
+        rides = _resent(feed(spark, sf_dir))
+        months = sorted(r[0] for r in rides.select("source_month").distinct().collect())
+        third = -(-len(months) // 3)
+        parts = [months[at:at + third] for at in range(0, len(months), third)]
+        for part in (*parts[::-1], parts[len(parts) // 2]):
+            run_bronze_to_silver(spark, LakePaths(root), rides, months=part)
+    root = _once(spark, sf_dir, "cross_file", write)
+    return _silver_out(read_table(spark, LakePaths(root).silver_rides))
+
+
 def q_zone_csv_scan(spark, sf_dir):
     inp = Inputs(spark, sf_dir)
     path = _once(spark, sf_dir, "zone_csv", lambda p: files.write_zone_reference_csv(inp.zone_reference, p))
@@ -522,6 +558,12 @@ def q_zone_centroid_from_geojson(spark, sf_dir):
     return round_geo(g.select("location_id", F.round("area", 8).alias("area"), "centroid_lat", "centroid_lon"))
 
 
+def q_zone_centroid_projected(spark, sf_dir):
+    """Per geometry row in map feet: centroid and area in degrees, of the shape brought into degrees first."""
+    g = geometry_centroids(project_geometry(testdata.projected_geometry(spark, sf_dir), NEW_YORK_LONG_ISLAND_FT))
+    return round_geo(g.select("p_partkey", "location_id", F.round("area", 8).alias("area"), "centroid_lat", "centroid_lon"))
+
+
 def q_spatial_cell(spark, sf_dir):
     """Grid cell of every zone's combined centroid at three levels."""
     z = combine_zone_geometry(Inputs(spark, sf_dir).geometry)

@@ -194,3 +194,14 @@ def zone_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit('{"type": "Polygon", "coordinates": ['), outer, F.lit("]}")))
     )
     return p.select("location_id", F.when(~F.col("location_id").isin(*IDS_WITHOUT_GEOMETRY), geojson).alias("polygon_geojson"))
+
+
+def projected_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GeoJSON geometry rows in map feet, one per ``part`` row: a square of side ``400 * p_size`` on a grid over the
+    city; key % 4 = 1 rings run clockwise, key % 97 = 0 squares have no area, key % 89 = 0 have no shape."""
+    k, side = F.col("p_partkey"), F.when(F.col("p_partkey") % 97 == 0, F.lit(0)).otherwise(400 * F.col("p_size"))
+    x, y = 930_000 + (k % 23) * 5_000, 130_000 + (k % 31) * 5_000
+    p = table(spark, sf_dir, "part").select("p_partkey", _zone_id().alias("location_id"), *[
+        v.cast("string").alias(n) for n, v in (("ax", x), ("bx", x + side), ("ay", y), ("by", y + side))])
+    ring = F.concat(F.lit('{"type": "Polygon", "coordinates": ['), _square("ax", "ay", "bx", "by", k % 4 == 1), F.lit("]}"))
+    return p.select("p_partkey", "location_id", F.when(k % 89 != 0, ring).alias("polygon_geojson"))
