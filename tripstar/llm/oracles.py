@@ -51,7 +51,7 @@ _OP3 = r"""
 WITH p AS (
   SELECT page_id, url, nullif(regexp_replace(regexp_replace(
     regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '\.+$', ''), '^www\.', ''), '') AS host FROM pages),
-captures AS (SELECT p.*, e.ts AS fetched FROM p LEFT JOIN events e ON e.event_id = p.page_id),
+captures AS (SELECT p.*, e.ts + INTERVAL 12 HOURS AS fetched FROM p LEFT JOIN events e ON e.user_id = p.page_id),
 entries AS (
   SELECT list, pattern, since, min(is_on) AS is_on FROM (
     SELECT CASE event_type WHEN 'error' THEN 'block' WHEN 'purchase' THEN 'block' WHEN 'signup' THEN 'allow' WHEN 'view' THEN 'allow' END AS list,

@@ -41,11 +41,16 @@ def list_entries(events, pages):
         action.alias("action"), F.col("ts").cast("timestamp").alias("since"))
 
 
+# After an event's own entry, and after the entries of many others of its host.
+FETCH_DELAY = "INTERVAL 12 HOURS"
+
+
 def op3_url_lists(spark, sf_dir):
-    """Every page, fetched at the moment of the event of its number, against the list log."""
+    """A capture for every event: the page that its user id names, fetched half a day after the event, so the
+    captures lie over the whole list log. A page without an event is a capture without a time."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
-    moments = events.select(F.col("event_id").alias("page_id"), F.col("ts").cast("timestamp").alias("fetched_at"))
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    moments = events.select(F.col("user_id").alias("page_id"), (F.col("ts").cast("timestamp") + F.expr(FETCH_DELAY)).alias("fetched_at"))
     found = url_lists.filter_urls(pages.join(moments, "page_id", "left"), list_entries(events, pages))
     return found.select("page_id", "url", "host", F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("fetched_at"),
                         F.array_join("lists", ",").alias("lists"), "pattern", "blocked")

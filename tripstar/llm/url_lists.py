@@ -17,7 +17,8 @@ Defined cases: a null or unparsable URL has no host and is never listed; a null
 interval; entries with a null list, pattern, action or moment are void, as are unknown actions; hosts
 and patterns are compared in lower case without a final dot, user, port and leading ``www.``; repeated
 rows get the same verdict each; empty tables give no rows or no listing; other columns pass through
-unread.
+unread, whatever their names, but for those named ``host``, ``lists``, ``pattern`` or ``blocked``, whose place the
+verdict takes.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_SECONDS = 86_400
+# An hour: a pattern with a third of all rows is spread over the hours of its log.
+BUCKET_SECONDS = 3600
+VERDICT_COLUMNS = ("host", "lists", "pattern", "blocked")
 
 
 def host_of(url: Column) -> Column:
@@ -88,16 +91,18 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", t
                 allow_lists: tuple[str, ...] = ("allow",)) -> DataFrame:
     """``captures`` with ``host``, ``lists`` (sorted names of the lists that hold an active entry),
     ``pattern`` (the most specific active pattern of a list that is no allow list) and ``blocked``:
-    some such entry is active, and no allow-list entry is at least as specific."""
-    rows = captures.withColumn("host", host_of(F.col(url_col)))
-    moments = rows.select("host", F.col(time_col).alias("fetched_at")).distinct()
-    active = active_entries(moments, validity_intervals(entries))
+    some such entry is active, and no allow-list entry is at least as specific. Columns of these four names in
+    ``captures`` give way to them."""
+    rows = captures.select(F.struct(*[F.col(f"`{c}`") for c in captures.columns]).alias("row"), host_of(F.col(f"`{url_col}`")).alias("host"),
+                           F.col(f"`{time_col}`").alias("fetched_at"))
+    active = active_entries(rows.select("host", "fetched_at").distinct(), validity_intervals(entries))
     allowed = F.col("list").isin(*allow_lists)
-    rank = F.struct(F.size(F.split("pattern", r"\.")), "pattern")
+    rank = F.struct(F.size(F.split("pattern", r"\.")).alias("labels"), "pattern")
     verdicts = active.groupBy("host", "fetched_at").agg(
         F.array_sort(F.collect_set("list")).alias("lists"), F.max(F.when(~allowed, rank)).alias("block"), F.max(F.when(allowed, rank)).alias("allow"))
-    verdicts = verdicts.select("host", F.col("fetched_at").alias("__at"), "lists", F.col("block.pattern").alias("pattern"), (
-        F.col("block").isNotNull() & (F.col("allow").isNull() | (F.col("allow.col1") < F.col("block.col1")))).alias("blocked"))
-    verdicts = verdicts.withColumnRenamed("host", "__host")
-    joined = rows.join(verdicts, (rows["host"] == F.col("__host")) & (rows[time_col] == F.col("__at")), "left").drop("__host", "__at")
-    return joined.withColumn("lists", F.coalesce("lists", F.array().cast("array<string>"))).withColumn("blocked", F.coalesce("blocked", F.lit(False)))
+    blocked = F.col("block").isNotNull() & (F.col("allow").isNull() | (F.col("allow.labels") < F.col("block.labels")))
+    joined = rows.join(verdicts, ["host", "fetched_at"], "left")
+    # the input's columns are unpacked only now, so none of their names can meet another
+    own = [F.col(f"row.`{c}`").alias(c) for c in captures.columns if c.lower() not in VERDICT_COLUMNS]
+    return joined.select(*own, "host", F.coalesce("lists", F.array().cast("array<string>")).alias("lists"), F.col("block.pattern").alias("pattern"),
+                         F.coalesce(blocked, F.lit(False)).alias("blocked"))
