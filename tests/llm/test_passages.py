@@ -64,3 +64,33 @@ def test_odd_rows(spark):
             assert r.n_removed == 0
     assert all(w[1] in (0, len(odd.LONG[:5000])) for w in want)
     assert R.remove_repeats(odd.no_docs(spark)).count() == 0
+
+
+def test_query_against_every_string_of_the_documents(spark):
+    """The whole table of one size: every 400-byte string that starts twice goes, planted passages with it (those of over
+    50 words that are shorter than 400 bytes hold no such string and stay)."""
+    import pyarrow.parquet as pq
+
+    from tripstar.llm.registry import QUERIES
+
+    sf, length = "/root/testdata/sf0.01", R.LENGTH
+    texts = [(t or "").encode() for t in pq.read_table(f"{sf}/documents.parquet").sort_by("doc_id").column("text").to_pylist()]
+    seen = {}
+    for t in texts:
+        for s in range(len(t) - length + 1):
+            key = hash(t[s:s + length])
+            seen[key] = seen.get(key, 0) + 1
+    want = []
+    for t in texts:
+        mark = np.zeros(len(t) + 1, np.int64)
+        for s in range(len(t) - length + 1):
+            if seen[hash(t[s:s + length])] > 1:
+                mark[s] += 1
+                mark[s + length] -= 1
+        gone = np.cumsum(mark)[:-1] > 0
+        kept = bytes(np.frombuffer(t, np.uint8)[~gone])
+        runs = int((np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1).sum())
+        want.append((len(t), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    rows = sorted(QUERIES["op7_repeated_passages"](spark, sf).collect(), key=lambda r: r.doc_id)
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows] == want
+    assert sum(w[1] > 0 for w in want) > 100

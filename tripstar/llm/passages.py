@@ -20,7 +20,9 @@ equal strings, named by two 64-bit rolling hashes:
   the same context, of which one occurrence stands for each dictionary entry: first in blocks of
   neighbouring starts, then, for the blocks that occur once (the very edge of a passage), one by one.
 
-Every step is a grouped count with partial sums or a join that can be split at a hot key. Only trigger
+Every step is a grouped count with partial sums or a join. The joins of all phrases (or blocks) with the
+contexts that repeat deal a hot context over several parts (:func:`repeated`); the later ones meet rows that
+stand for many. Only trigger
 rows (one for about ``REACH / 2`` bytes) are shuffled, texts twice: to cut out the phrases in question and
 to remove the bytes found.
 
@@ -45,6 +47,8 @@ REACH = 1 << REACH_BITS
 # Distances to the trigger that are first looked up together, as a power of two.
 BLOCK_BITS = 4
 SLICE_BYTES = 1 << 19
+# Parts that the rows of a key are dealt over where a single key may have a large share of them.
+SALTS = 32
 KEYS = ("id", "th")
 
 
@@ -225,13 +229,22 @@ def strings_of(wanted: DataFrame, phrase_bytes: DataFrame, length: int) -> DataF
     return joined.mapInArrow(run, "id long, th long, s int, open boolean, ha long, hb long")
 
 
+def repeated(rows: DataFrame, key: str, place: str) -> DataFrame:
+    """The rows whose ``key`` occurs more than once. Rows of a key are dealt over ``SALTS`` parts by their document
+    and place; the counting notes which parts a key has in the bits of a number, so that the join meets a hot key
+    in all of them and a common one in no more parts than it has rows."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id", "th", place), F.lit(SALTS)).cast("int"))
+    seen = salted.groupBy(key).agg(F.count("*").alias("n"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("parts")).filter("n > 1")
+    parts = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.getbit("parts", i) == 1)
+    return salted.join(seen.select(key, F.explode(parts).alias("salt")), [key, "salt"], "left_semi").drop("salt")
+
+
 def repeated_spans(keyed: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, reach_bits: int = REACH_BITS,
                    block_bits: int = BLOCK_BITS) -> DataFrame:
     """(id, th, spans): for each document with repeats, the stretches [start, end) covered by
     repeated strings; they may overlap."""
     rows = phrases(keyed, length, trigger, reach_bits)
-    again = rows.groupBy("k1").agg(F.count("*").alias("n")).filter("n > 1").select("k1")
-    shared = materialise(rows.join(again, "k1", "left_semi"), "phrases")
+    shared = materialise(repeated(rows, "k1", "a"), "phrases")
     dictionary = shared.groupBy("ka", "kb").agg(F.count("*").alias("n"))
     counted = materialise(shared.join(dictionary, ["ka", "kb"]), "dictionary")
     known, open_ = counted.filter("n > 1"), counted.filter("n = 1")
@@ -242,8 +255,7 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, trigger: int = TRIGGE
     data = materialise(contexts(wanted, keyed, length), "contexts")
     cut = materialise(blocks(data, length, block_bits), "blocks")
     # blocks whose common bytes occur once hold no repeated string
-    cores = cut.groupBy("kc").agg(F.count("*").alias("n")).filter("n > 1").select("kc")
-    cut = materialise(cut.join(cores, "kc", "left_semi"), "shared-blocks")
+    cut = materialise(repeated(cut, "kc", "first"), "shared-blocks")
     twice = cut.groupBy("ka", "kb").agg(F.count("*").alias("n")).filter("n > 1").select("ka", "kb")
     closed = cut.filter("open").join(twice, ["ka", "kb"], "left_semi")
     left = cut.filter("open").join(twice, ["ka", "kb"], "left_anti")
