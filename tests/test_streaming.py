@@ -24,3 +24,23 @@ def test_many_small_batches_are_all_counted(spark, tmp_dir):
         bronze_df(spark, [ride(tips=float(i))] * 3).coalesce(1).write.parquet(f"{landing}/f{i}")
     n = land_new_files(spark, f"{landing}/*", bronze, ckpt, schemas.BRONZE_RIDES, max_files_per_trigger=1)
     assert n == 15 and spark.read.parquet(bronze).count() == 15
+
+
+def test_counts_over_runs_read_only_what_is_new(spark, tmp_dir):
+    """Three runs of several batches each, across the sink's rewriting of its log (every tenth batch): a run counts its
+    own files, and opens no others."""
+    from tripstar.streaming.landing import files_since, sink_batches
+
+    landing, bronze, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/bronze", f"{tmp_dir}/ckpt"
+    total, n_file = 0, 0
+    for rows, files in ((1, 4), (2, 7), (3, 3), (1, 12)):
+        before = max(sink_batches(spark, bronze), default=-1)
+        for _ in range(files):
+            bronze_df(spark, [ride(tips=float(n_file))] * rows).coalesce(1).write.parquet(f"{landing}/f{n_file}")
+            n_file += 1
+        assert land_new_files(spark, f"{landing}/*", bronze, ckpt, schemas.BRONZE_RIDES, max_files_per_trigger=1) == rows * files
+        new = files_since(spark, bronze, before)
+        assert len(new) == files and spark.read.parquet(*new).count() == rows * files
+        total += rows * files
+    assert any(n.endswith(".compact") for n in sink_batches(spark, bronze).values())
+    assert spark.read.parquet(bronze).count() == total
