@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripstar.llm.common import materialise
+
 # An hour: a pattern with a third of all rows is spread over the hours of its log.
 BUCKET_SECONDS = 3600
 VERDICT_COLUMNS = ("host", "lists", "pattern", "blocked")
@@ -75,7 +77,8 @@ def active_entries(moments: DataFrame, intervals: DataFrame) -> DataFrame:
                               F.struct("valid_from", "valid_to").alias("span")).unionByName(
         asked.select("list", "pattern", F.col("fetched_at").alias("at"), F.lit(1).alias("kind"), "host",
                      F.when(F.lit(False), F.struct(nothing.alias("valid_from"), nothing.alias("valid_to"))).alias("span")))
-    merged = merged.withColumn("bucket", _bucket(F.col("at")))
+    # read twice below
+    merged = materialise(merged.withColumn("bucket", _bucket(F.col("at"))), "moments")
     before = Window.partitionBy("list", "pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = (merged.groupBy("list", "pattern", "bucket").agg(F.max("span").alias("last"))
                .withColumn("carried", F.max("last").over(before)).drop("last"))
@@ -92,10 +95,12 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", t
     """``captures`` with ``host``, ``lists`` (sorted names of the lists that hold an active entry),
     ``pattern`` (the most specific active pattern of a list that is no allow list) and ``blocked``:
     some such entry is active, and no allow-list entry is at least as specific. Columns of these four names in
-    ``captures`` give way to them."""
+    ``captures`` give way to them. Starts three jobs while it is called."""
     rows = captures.select(F.struct(*[F.col(f"`{c}`") for c in captures.columns]).alias("row"), host_of(F.col(f"`{url_col}`")).alias("host"),
                            F.col(f"`{time_col}`").alias("fetched_at"))
-    active = active_entries(rows.select("host", "fetched_at").distinct(), validity_intervals(entries))
+    # each step is written once, so its shuffle files go before the next one begins
+    intervals = materialise(validity_intervals(entries), "intervals")
+    active = materialise(active_entries(rows.select("host", "fetched_at").distinct(), intervals), "active")
     allowed = F.col("list").isin(*allow_lists)
     rank = F.struct(F.size(F.split("pattern", r"\.")).alias("labels"), "pattern")
     verdicts = active.groupBy("host", "fetched_at").agg(
