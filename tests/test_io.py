@@ -143,3 +143,25 @@ def test_text_and_centroid_csv_readers(spark, tmp_dir):
     got = sorted(tuple(r) for r in files.read_zone_centroids_csv(spark, p).collect())
     assert got == [(1, 40.69, -74.17), (2, None, None)]
     assert files.read_csv_as_strings(spark, p).schema.simpleString() == "struct<LocationID:string,lat:string,lon:string>"
+
+
+def test_scratch_goes_with_the_application(tmp_dir):
+    import subprocess
+    import sys
+    import time
+
+    code = f"""
+from pyspark.sql import SparkSession
+from tripstar.paths import scratch_path
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {tmp_dir!r}).getOrCreate()
+path = scratch_path(spark, "x")
+spark.range(3).write.parquet(path)
+assert spark.read.parquet(path).count() == 3 and path != scratch_path(spark, "x")
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), timeout=300)
+    for _ in range(120):  # the JVM ends after the interpreter
+        left = [f for _, _, files in os.walk(tmp_dir) for f in files]
+        if not left:
+            break
+        time.sleep(0.5)
+    assert left == []

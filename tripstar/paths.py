@@ -70,6 +70,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+# Scratch folders of applications that are removed when these end.
+_removed_on_exit: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location under the shared checkpoint directory."""
-    return f"{checkpoint_root(spark)}/tripstar/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique location under the shared checkpoint directory, in a folder of the application that goes
+    when the application ends."""
+    sc = spark.sparkContext
+    root = f"{checkpoint_root(spark)}/tripstar/{sc.applicationId}"
+    if root not in _removed_on_exit:
+        folder = sc._jvm.org.apache.hadoop.fs.Path(root)
+        fs = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+        _removed_on_exit.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
