@@ -46,10 +46,13 @@ def main() -> None:
     from tripstar.operators import gold as G
     from tripstar.operators import metrics as M
     from tripstar.plans.publish import write_table
-    from tripstar.plans.silver import bronze_to_silver
+    from tripstar.operators import rules as R
+    from tripstar.plans.silver import bronze_to_silver, month_rides, prepare
     from tripstar.registry import Inputs
     from tripstar.sources import files, testdata
 
+    testdata.bronze_rides(spark, sf_dir, with_month=True).write.partitionBy("source_month").parquet(f"{scratch}/monthly")
+    monthly = spark.read.schema(schemas.BRONZE_RIDES.add("source_month", "string")).parquet(f"{scratch}/monthly")
     testdata.bronze_rides(spark, sf_dir).write.parquet(f"{scratch}/bronze")
     res = bronze_to_silver(files.read_bronze(spark, f"{scratch}/bronze", schemas.BRONZE_RIDES))
     res.silver.write.parquet(f"{scratch}/silver")
@@ -63,6 +66,8 @@ def main() -> None:
 
     jobs = [
         ("Silver: validate + standardise + derive + dedupe + number (bronze read from Parquet)", res.silver),
+        ("Silver of one source month as the pipeline writes it (the second exchange numbers the rows and lays out the files)",
+         month_rides(R.valid_rows(prepare(monthly.filter("source_month = '1995-03'"))), "copies")),
         ("Quarantine branch (map-only)", res.quarantine),
         ("Fact build from silver (map-only)", G.fact_rides(silver)),
         ("Fact publish input: REBALANCE on the partition columns, sorted by zone within each day",
