@@ -12,8 +12,8 @@ earlier filters, not on their order).
 
 Which rows make up a chunk changes no sum, so no group is ever gathered: a part with a third of all rows, one id
 on very many rows or one text in very many copies is spread over as many chunks as it takes. Repeated texts are
-found by their SHA-256 with sums made before the shuffle; a text's rows then meet its smallest id in a plain
-join, which Spark can split.
+found by their SHA-256 with sums made before the shuffle; a text's rows, dealt over parts by their ids, then meet
+its smallest id in a join.
 
 Defined cases: a null text is empty, a null part is the empty string; a null id is larger than none and smaller
 than none, so such a row is never a later copy and makes none; repeated rows count once each; labels that repeat
@@ -35,6 +35,8 @@ from tripstar.llm.common import materialise
 
 # Rows of a chunk; its lists are this long at most.
 CHUNK_ROWS = 1 << 16
+# Parts that the rows of one text are dealt over when they meet its smallest id.
+SALTS = 32
 
 
 def corpus_flags(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang") -> DataFrame:
@@ -53,9 +55,13 @@ def corpus_flags(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def later_copies(flags: DataFrame, name: str = "E", digest_col: str = "digest") -> DataFrame:
     """Adds ``name``: some row with a smaller id has the same digest. The digest goes."""
-    first = flags.groupBy(digest_col).agg(F.min("id").alias("__first"), F.max("id").alias("__last")).filter("__first < __last")
-    joined = flags.join(first.select(digest_col, "__first"), digest_col, "left")
-    return joined.withColumn(name, F.coalesce(F.col("id") > F.col("__first"), F.lit(False))).drop(digest_col, "__first")
+    # rows of a text are dealt over parts by their id, and the smallest id is brought to the parts that have rows
+    dealt = flags.withColumn("__part", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    first = dealt.groupBy(digest_col).agg(F.min("id").alias("__first"), F.max("id").alias("__last"),
+                                          F.bit_or(F.expr("shiftleft(1L, __part)")).alias("__parts")).filter("__first < __last")
+    parts = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.getbit("__parts", i) == 1)
+    joined = dealt.join(first.select(digest_col, "__first", F.explode(parts).alias("__part")), [digest_col, "__part"], "left")
+    return joined.withColumn(name, F.coalesce(F.col("id") > F.col("__first"), F.lit(False))).drop(digest_col, "__first", "__part")
 
 
 def with_labels(flags: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
