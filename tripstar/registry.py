@@ -46,6 +46,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 DURATION_TOLERANCE_SEC = 5
 PREVIEW_ROWS = 50
 GEO_DECIMALS = 6
+FEED_ROW_GROUP = 4 << 20
 _GEO_COLS = ("centroid_lat", "centroid_lon", "start_lat", "start_lon", "end_lat", "end_lon")
 
 
@@ -130,8 +131,11 @@ def _once(spark, sf_dir: str, what: str, write: Callable[[str], None]) -> str:
 
 
 def feed(spark, sf_dir) -> DataFrame:
-    """The ride feed with its source month, derived from the shared tables once in a session and then read."""
-    path = _once(spark, sf_dir, "feed", lambda p: testdata.bronze_rides(spark, sf_dir, with_month=True).write.parquet(p))
+    """The ride feed with its source month, derived from the shared tables once in a session and then read. The shared
+    tables are small files, so the row groups are, too: all task slots of a small session read the feed."""
+    def write(path):
+        testdata.bronze_rides(spark, sf_dir, with_month=True).write.option("parquet.block.size", FEED_ROW_GROUP).parquet(path)
+    path = _once(spark, sf_dir, "feed", write)
     return files.read_bronze(spark, path, T.StructType([*schemas.BRONZE_RIDES, T.StructField("source_month", T.StringType())]))
 
 
