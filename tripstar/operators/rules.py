@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: the reason text of every quarantined row.
 QUARANTINE_REASON = "failed_data_quality_validation"
 
 # Reason class of each rule (the quarantine classes of the layer design: provider,
