@@ -249,8 +249,9 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, trigger: int = TRIGGE
     counted = materialise(shared.join(dictionary, ["ka", "kb"]), "dictionary")
     known, open_ = counted.filter("n > 1"), counted.filter("n = 1")
     # one occurrence of every dictionary entry that shares a context with an open phrase
-    standing = (known.join(open_.select("k1").distinct(), "k1", "left_semi").groupBy("ka", "kb")
-                .agg(F.min(F.struct("id", "th", "lo", "hi", "a")).alias("x")).select("x.*"))
+    # (the context is a part of the phrase, so copies are counted down to one before contexts meet)
+    standing = (known.groupBy("ka", "kb", "k1").agg(F.min(F.struct("id", "th", "lo", "hi", "a")).alias("x"))
+                .join(open_.select("k1").distinct(), "k1", "left_semi").select("x.*"))
     wanted = open_.select("id", "th", "lo", "hi", "a", F.lit(True).alias("open")).unionByName(standing.withColumn("open", F.lit(False)))
     data = materialise(contexts(wanted, keyed, length), "contexts")
     cut = materialise(blocks(data, length, block_bits), "blocks")
