@@ -165,3 +165,45 @@ assert spark.read.parquet(path).count() == 3 and path != scratch_path(spark, "x"
             break
         time.sleep(0.5)
     assert left == []
+
+
+def _small_tables(spark, root):
+    spark.sql("SELECT id AS r_regionkey, concat('R', id) AS r_name FROM range(5)").write.parquet(f"{root}/region.parquet")
+    spark.sql("SELECT id AS p_partkey, CAST(1 + id % 50 AS INT) AS p_size FROM range(1, 40)").write.parquet(f"{root}/part.parquet")
+    spark.sql("""SELECT id AS l_orderkey, id % 7 AS l_partkey, id % 11 AS l_suppkey, CAST(1 + id % 7 AS INT) AS l_linenumber,
+        CAST(1 + id % 50 AS DOUBLE) AS l_quantity, 10.0D * id AS l_extendedprice, 0.05D AS l_discount, 0.02D AS l_tax, 'N' AS l_returnflag,
+        CAST(date_add(DATE'1995-05-20', CAST(id % 60 AS INT)) AS TIMESTAMP_NTZ) AS l_shipdate FROM range(1, 60)""").write.parquet(f"{root}/lineitem.parquet")
+
+
+@pytest.mark.parametrize("folder_stays", [False, True])
+def test_queries_run_again_after_their_scratch_was_cleared(spark, tmp_dir, folder_stays):
+    from tripstar import registry
+
+    _small_tables(spark, f"{tmp_dir}/sf")
+    for name in ("csv_as_strings", "drop_operational_columns", "bronze_scan_merge_schema"):
+        query = registry.QUERIES[name]
+        first = query(spark, f"{tmp_dir}/sf")
+        want, used = first.count(), set(first.inputFiles())
+        assert set(query(spark, f"{tmp_dir}/sf").inputFiles()) == used  # written once
+        for i, f in enumerate(sorted(used)):
+            f = f.removeprefix("file:").replace("///", "/")
+            if folder_stays:
+                os.rename(f, f"{tmp_dir}/{name}-{i}")
+            elif os.path.exists(f):
+                folder = f[:f.index("/", f.index("/tripstar/local-") + len("/tripstar/local-"))]
+                top = "/".join([folder, f[len(folder) + 1:].split("/")[0]])
+                os.rename(top, f"{tmp_dir}/{name}-{i}")
+        assert query(spark, f"{tmp_dir}/sf").count() == want > 0
+
+
+def test_a_configured_checkpoint_folder_is_taken_as_it_is():
+    from types import SimpleNamespace
+
+    from tripstar.paths import checkpoint_root
+
+    def session(current):
+        return SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: current, master="spark://host:7077"),
+                               conf=SimpleNamespace(get=lambda key, default: default))
+    assert checkpoint_root(session("file:/mnt/shared/ckpt/")) == "file:/mnt/shared/ckpt"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(session(None))
