@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripstar.functions.columns import geometry_moments, moments_centroid, spatial_cell
-from tripstar.operators.geo import build_zone_reference, combine_zone_geometry, zones_without_geometry
+from tripstar.operators.geo import build_zone_reference, combine_zone_geometry, zone_geometry_join, zones_without_geometry
 
 
 def _sq(x, y, s=1.0, cw=False):
@@ -120,3 +120,20 @@ def test_projected_shapes_round_trip(spark):
     flat = [p for r in one["coordinates"] for p in r]
     assert all(abs(a - b) < 1e-9 for p, q in zip(flat, ring + hole, strict=True) for a, b in zip(p, q, strict=True))
     assert [got[i] for i in (3, 4, 5, 6)] == [None] * 4
+
+
+def test_zone_geometry_join_keeps_every_row_and_never_broadcasts_shapes(spark):
+    lookup = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "c"), (None, "d")], "location_id INT, zone_name STRING")
+    shape = json.dumps({"type": "Polygon", "coordinates": [_sq(0, 0)]})
+    geometry = spark.createDataFrame([(1, shape), (1, shape), (2, None), (9, shape), (None, shape)], "location_id INT, polygon_geojson STRING")
+    got = zone_geometry_join(lookup, geometry)
+    assert got.columns == ["location_id", "zone_name", "polygon_geojson", "centroid_lat", "centroid_lon", "geo_hash", "h3_resolution"]
+    rows = sorted(((r.location_id, r.zone_name, r.polygon_geojson, r.centroid_lat) for r in got.collect()), key=str)
+    half = 0.5
+    assert rows == sorted([*[(1, "a", shape, half)] * 4, (2, "b", None, None), (3, "c", None, None), (None, "d", None, None)], key=str)
+    # few bytes by the planner's guess, many as texts
+    many = spark.range(1000).selectExpr("CAST(id % 3 AS INT) AS location_id", "repeat(CAST(id AS STRING), 3000) AS polygon_geojson")
+    plan = zone_geometry_join(lookup, many)
+    for side in plan._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[1:]:
+        assert "repeat(" not in side
+    assert plan.count() == 2 * 333 + 333 + 2

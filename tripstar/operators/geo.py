@@ -57,10 +57,18 @@ def zone_geometry_join(lookup: DataFrame, geometry: DataFrame, level: int = DEFA
     """Lookup LEFT JOIN geometry on ``location_id`` with per-geometry centroid and cell.
 
     A zone with several geometry rows yields several rows (fan-out); a zone without any yields
-    one row with NULL geometry columns."""
+    one row with NULL geometry columns. The geometry is the large side and its texts are far larger than
+    the planner's guess: it is merged, never broadcast. Zones with geometry and those without are joined
+    apart, as the parts of a hot zone can be dealt over tasks in an inner join only."""
     geo = geometry_centroids(geometry, level).select(
         "location_id", "polygon_geojson", "centroid_lat", "centroid_lon", "geo_hash", "h3_resolution")
-    return lookup.join(geo, "location_id", "left").select(*lookup.columns, *[c for c in geo.columns if c != "location_id"])
+    added = [c for c in geo.columns if c != "location_id"]
+    found = lookup.join(geo.hint("merge"), "location_id").select(*lookup.columns, *added)
+    # ids without any geometry row, told on the geometry's ids alone
+    ids = geometry.select("location_id").distinct()
+    missing = lookup.join(ids, "location_id", "left_anti").select(
+        *lookup.columns, *[F.lit(None).cast(geo.schema[c].dataType).alias(c) for c in added])
+    return found.unionByName(missing)
 
 
 def zones_without_geometry(lookup: DataFrame, geometry: DataFrame) -> DataFrame:
