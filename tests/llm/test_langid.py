@@ -96,3 +96,13 @@ def test_odd_rows(spark):
             assert r.lang_pred in ("en", "de", "tr") and 0 < r.score <= 1
     assert {r.lang_pred for r in L.identify(docs, F.lit(False)).collect()} == {"und"}
     assert L.identify(odd.no_docs(spark), F.lit(True)).count() == 0
+
+
+def test_ceilings_come_from_all_learning_documents(spark):
+    texts = spark.range(60_000).selectExpr("'aa' AS lang", "concat('abba ', translate(md5(CAST(id AS STRING)), '0123456789', 'ghijklmnop')) AS text")
+    model = L.train(texts)
+    entropies = np.sort([h for _, _, h, _ in L.judge(model, [r.text.encode() for r in texts.collect()])])
+    L.calibrate(model, texts)
+    rank = np.searchsorted(entropies, model.ceiling[0] / L.MARGIN * (1 + 1e-12), side="right")
+    # right to one rank in 10,000; a third of the documents would be off by 24 ranks on average
+    assert abs(rank - L.QUANTILE * len(entropies)) <= len(entropies) / 10_000 + 1

@@ -10,9 +10,9 @@ the alphabets and what is written in them, not the number of documents.
 
 A text's cross-entropy under a model is the mean of -ln P over its trigrams. The language with the
 least one is predicted; ``score`` is its posterior among the models, with the evidence counted for at
-most ``MAX_EVIDENCE`` characters. Calibrated rejection: on a bounded sample of learning documents
-(about ``MAX_CALIBRATION``, chosen by a hash of the text) the ``QUANTILE`` of the cross-entropy under
-the own language is found; a text above it is marked ``rejected``. The prediction stays in place.
+most ``MAX_EVIDENCE`` characters. Calibrated rejection: over all learning documents that are predicted
+right, the ``QUANTILE`` of the cross-entropy under the own language is found (its rank to one in
+``QUANTILE_ACCURACY``); a text above it by the factor ``MARGIN`` is marked ``rejected``. The prediction stays in place.
 
 Defined cases: texts that are null or have no letter are ``und`` with score 0 and rejected; so is every
 text if nothing can be learned; equal cross-entropies go to the language first in order; repeated rows
@@ -34,7 +34,7 @@ from tripstar.llm.common import materialise, strings
 # An odd factor, so that multiplying by it modulo 2^64 is one-to-one, and its inverse.
 _MIX = 0x9E3779B97F4A7C15
 _UNMIX = pow(_MIX, -1, 1 << 64)
-MAX_CALIBRATION, QUANTILE, MARGIN = 20_000, 0.995, 1.05
+QUANTILE, QUANTILE_ACCURACY, MARGIN = 0.995, 10_000, 1.05
 MAX_EVIDENCE = 64
 SLICE_CHARS = 1 << 18
 _letters: list[np.ndarray] = []
@@ -296,16 +296,13 @@ def predict_udf(model: Model):
     return F.arrow_udf(run, "struct<lang:string,score:double,entropy:double,rejected:boolean>").asNondeterministic()
 
 
-def calibrate(model: Model, docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = MAX_CALIBRATION) -> Model:
-    """Sets each language's ceiling from a bounded sample of its learning documents."""
+def calibrate(model: Model, docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
+    """Sets each language's ceiling from all of its learning documents."""
     if not model.langs:
         return model
     known = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    n = known.count()
-    if n > sample:
-        known = known.filter(F.pmod(F.xxhash64(text_col), F.lit(1 << 30)) < int((1 << 30) * sample / n))
     scored = known.select(F.col(lang_col).cast("string").alias("own"), predict_udf(model)(F.col(text_col)).alias("p"))
-    rows = scored.filter("p.lang = own AND p.entropy IS NOT NULL").groupBy("own").agg(F.percentile_approx("p.entropy", QUANTILE, 10_000).alias("h")).collect()
+    rows = scored.filter("p.lang = own AND p.entropy IS NOT NULL").groupBy("own").agg(F.percentile_approx("p.entropy", QUANTILE, QUANTILE_ACCURACY).alias("h")).collect()
     for r in rows:
         model.ceiling[model.langs.index(r["own"])] = r["h"] * MARGIN
     return model
