@@ -6,6 +6,7 @@ from itertools import permutations
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import SF_SMALL
 from helpers import bronze_df, ride
@@ -229,7 +230,7 @@ def test_a_run_id_again_replaces_its_rows(spark, tmp_dir):
 def test_counts_are_those_of_the_writing_tasks(spark, tmp_dir):
     rows = [_ride(3), _ride(3), _ride(4), _ride(5, tips=-1.0), _ride(6, tips=None), _ride(7, tips=None, tolls=-1.0)]
     _feed(spark, {"2024-01": rows}).write.partitionBy("source_month").parquet(f"{tmp_dir}/bronze/rides")
-    bronze = spark.read.schema(schemas.BRONZE_RIDES.add("source_month", "string")).parquet(f"{tmp_dir}/bronze/rides")
+    bronze = spark.read.schema(T.StructType([*schemas.BRONZE_RIDES, T.StructField("source_month", T.StringType())])).parquet(f"{tmp_dir}/bronze/rides")
     want = {"bronze_rows": 6, "valid_rows": 3, "silver_rows": 2, "failed_rows": 2, "unknown_rows": 1}
     tracker = spark.sparkContext.statusTracker()
     for on_null, lost in (("quarantine", 0), ("drop", 1)):

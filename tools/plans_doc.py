@@ -33,6 +33,7 @@ def _clean(plan: str) -> str:
 
 def main() -> None:
     from pyspark.sql import SparkSession
+    from pyspark.sql import types as T
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     scratch = tempfile.mkdtemp(prefix="tripstar-plans-")
@@ -52,7 +53,7 @@ def main() -> None:
     from tripstar.sources import files, testdata
 
     testdata.bronze_rides(spark, sf_dir, with_month=True).write.partitionBy("source_month").parquet(f"{scratch}/monthly")
-    monthly = spark.read.schema(schemas.BRONZE_RIDES.add("source_month", "string")).parquet(f"{scratch}/monthly")
+    monthly = spark.read.schema(T.StructType([*schemas.BRONZE_RIDES, T.StructField("source_month", T.StringType())])).parquet(f"{scratch}/monthly")
     testdata.bronze_rides(spark, sf_dir).write.parquet(f"{scratch}/bronze")
     res = bronze_to_silver(files.read_bronze(spark, f"{scratch}/bronze", schemas.BRONZE_RIDES))
     res.silver.write.parquet(f"{scratch}/silver")
