@@ -4,11 +4,13 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from llm_helpers import odd
+from tripstar.llm import encoding
 from tripstar.llm import packing as P
-from tripstar.llm.encoding import WordTokenizer
+from tripstar.llm.encoding import WordTokenizer, id_bytes
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -76,6 +78,45 @@ def test_word_tokenizer_on_random_texts():
     assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_stems_go_to_the_library_without_its_normalizer():
+    """Words of letters are encoded by the model alone, each new stem once; the rest by the whole tokenizer."""
+    coder, plain = WordTokenizer(PATH), Tokenizer.from_file(PATH)
+    whole = coder.tokenizer
+    asked = []
+
+    class Listening:
+        def encode_batch_fast(self, texts, **kw):
+            asked.extend(texts)
+            return whole.encode_batch_fast(texts, **kw)
+
+    coder.tokenizer = Listening()
+    letters = [chr(c) for c in coder.letters]
+    words = [a + b for a in letters for b in ("", "x", "\u00e9s")] + ["Wording,", "wording", "WORDING!"]
+    for _ in range(2):
+        assert np.frombuffer(coder.encode([" ".join(words).encode()])[0], coder.dtype).tolist() == plain.encode(" ".join(words)).ids
+    assert asked and not any(c.isalpha() for text in asked for c in text.replace("<|endoftext|>", ""))
+
+
+def test_flat_ids_with_an_end_id():
+    texts = ["a b", None, "", " \t\x0b ", "\n wording.\r", "\x1c x\x1f y\u00a0z"]
+    coder, plain = WordTokenizer(PATH), Tokenizer.from_file(PATH)
+    want = [plain.encode(t or "").ids + [1] for t in texts]
+    for column in (pa.array(texts), pa.array(["no", *texts]).slice(1)):
+        ids, counts = coder.encode_flat(column, 1)
+        assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+    assert id_bytes(ids, counts).to_pylist() == [np.array(w, coder.dtype).tobytes() for w in want]
+    assert [x.tolist() for x in coder.encode_flat(pa.array([], pa.string()), 1)] == [[], []]
+
+
+def test_caches_that_run_over(monkeypatch):
+    monkeypatch.setattr(encoding, "CACHE_WORDS", 40)
+    monkeypatch.setattr(encoding, "CACHE_STEMS", 20)
+    coder, plain = WordTokenizer(PATH), Tokenizer.from_file(PATH)
+    for k in range(30):
+        texts = [f"w{chr(97 + (k * j) % 26)}rd{chr(97 + j)}, Same {k}" for j in range(9)]
+        assert [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode([t.encode() for t in texts])] == [plain.encode(t).ids for t in texts]
+
+
 def test_tail_cuts():
     assert P.tail_cuts(0) == [] and P.tail_cuts(1500) == [1024, 1280, 1408, 1472, 1488, 1496, 1500]
 

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripstar.llm.common import materialise, strings
+from tripstar.llm.common import materialise
 from tripstar.llm.encoding import process_tokenizer
 
 END_ID = 2
@@ -62,15 +62,12 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str =
 
     def run(batches):
         coder, shard, first = process_tokenizer(tokenizer), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype=coder.dtype).tobytes()
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS):
                 part = whole.slice(at, TEXTS)
-                raw = [x + end for x in coder.encode(strings(part.column(1)))]
-                n = np.array([len(x) for x in raw], dtype=np.int64) // coder.dtype.itemsize
+                ids, n = coder.encode_flat(part.column(1), end_id)
                 ends = np.cumsum(n)
-                ids = np.frombuffer(b"".join(raw), dtype=coder.dtype).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int32)))
                 columns = [part.column(0), pa.array(np.full(len(n), shard, np.int32)), pa.array(first + ends - n), pa.array(n), lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "shard", "first", "n_tokens", "tokens"])
                 first += int(ends[-1])
