@@ -33,8 +33,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstar.llm.common import materialise, strings
-from tripstar.llm.encoding import process_tokenizer
+from tripstar.llm.common import materialise
+from tripstar.llm.encoding import id_bytes, process_tokenizer
 
 WINDOW, END_ID, CELLS = 2048, 1, 4096
 
@@ -134,13 +134,11 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str
 
     def run(batches):
         coder = process_tokenizer(tokenizer)
-        end = np.array([end_id], dtype=coder.dtype).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = [x + end for x in coder.encode(strings(part.column(2)))]
-                n = pa.array([len(x) // coder.dtype.itemsize for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary()), n],
+                ids, n = coder.encode_flat(part.column(2), end_id)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), id_bytes(ids, n), pa.array(n)],
                                                  names=["id", "source", "ids", "n"])
 
     return picked.mapInArrow(run, schema)
