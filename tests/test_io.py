@@ -196,6 +196,31 @@ def test_queries_run_again_after_their_scratch_was_cleared(spark, tmp_dir, folde
         assert query(spark, f"{tmp_dir}/sf").count() == want > 0
 
 
+def test_lake_queries_run_again_after_their_scratch_was_cleared(spark, tmp_dir):
+    from tripstar import registry
+
+    names = ("catalog_fact_after_sync", "incremental_months_fact", "incremental_months_quarantine", "incremental_months_silver",
+             "cross_file_dedupe", "gold_partitioned_roundtrip")
+    sf = f"{tmp_dir}/sf"
+    spark.sql("SELECT id AS r_regionkey, concat('R', id) AS r_name FROM range(5)").write.parquet(f"{sf}/region.parquet")
+    spark.sql("SELECT id AS p_partkey, CAST(1 + id % 50 AS INT) AS p_size FROM range(1, 40)").write.parquet(f"{sf}/part.parquet")
+    spark.sql("""SELECT id AS l_orderkey, id % 7 AS l_partkey, id % 11 AS l_suppkey, CAST(1 + id % 7 AS INT) AS l_linenumber,
+        CAST(1 + id % 50 AS DOUBLE) AS l_quantity, 10.0D * id AS l_extendedprice, 0.05D AS l_discount, 0.02D AS l_tax, 'N' AS l_returnflag,
+        CAST(date_add(DATE'1995-02-20', CAST(id % 40 AS INT)) AS TIMESTAMP_NTZ) AS l_shipdate FROM range(1, 60)""").write.parquet(f"{sf}/lineitem.parquet")
+
+    def results():
+        return {name: sorted(map(str, registry.QUERIES[name](spark, sf).collect())) for name in names}
+
+    def folders():
+        return {path for (_, tables, _), (path, _) in registry._written.items() if tables == sf}
+
+    want, own = results(), folders()
+    for i, path in enumerate(sorted(own)):
+        os.rename(path.removeprefix("file:"), f"{tmp_dir}/gone-{i}")
+    assert results() == want and all(want.values())
+    assert not own & folders()
+
+
 def test_a_configured_checkpoint_folder_is_taken_as_it_is():
     from types import SimpleNamespace
 
