@@ -221,6 +221,24 @@ def test_lake_queries_run_again_after_their_scratch_was_cleared(spark, tmp_dir):
     assert not own & folders()
 
 
+WRITING_QUERIES = """agg_trips_by_zone agg_trips_by_hour bronze_scan_merge_schema agg_trips_daily catalog_fact_after_sync cross_file_dedupe
+csv_as_strings daily_rides_trend dedupe_rides derive_trip_columns dim_date dim_zone drop_operational_columns duration_mismatch
+enrich_pickup_dropoff fact_orphan_keys fact_rides gold_partitioned_roundtrip incremental_months_fact incremental_months_quarantine
+incremental_months_silver""".split()
+
+
+def test_writing_queries_run_on_a_cluster_with_a_file_checkpoint_folder(spark, tmp_dir, monkeypatch):
+    """A session of a standalone cluster whose checkpoint folder is a mount that all machines share."""
+    from tripstar import registry
+    from tripstar.paths import checkpoint_root
+
+    _small_tables(spark, f"{tmp_dir}/sf")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    assert checkpoint_root(spark).startswith("file:")
+    rows = {name: registry.QUERIES[name](spark, f"{tmp_dir}/sf").count() for name in WRITING_QUERIES}
+    assert all(rows.values()), rows
+
+
 def test_a_configured_checkpoint_folder_is_taken_as_it_is():
     from types import SimpleNamespace
 
