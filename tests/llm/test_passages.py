@@ -94,3 +94,27 @@ def test_query_against_every_string_of_the_documents(spark):
     rows = sorted(QUERIES["op7_repeated_passages"](spark, sf).collect(), key=lambda r: r.doc_id)
     assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows] == want
     assert sum(w[1] > 0 for w in want) > 100
+
+
+def test_a_hot_phrase_is_joined_in_many_parts(spark):
+    """One passage in all of 400 documents, between texts of their own: no join meets its phrases, blocks or strings in one part."""
+    rng = np.random.default_rng(5)
+    letters = np.frombuffer(b"abcdefgh", np.uint8)
+    passage = bytes(rng.choice(letters, 120))
+    texts = [bytes(rng.choice(letters, 30)) + passage + bytes(rng.choice(letters, 30)) for _ in range(400)]
+    keyed = spark.createDataFrame([(i, i, t.decode()) for i, t in enumerate(texts)], "id long, th long, text string")
+    shared = R.repeated(R.phrases(keyed, 20, 4, 2), ("k1",), "a").localCheckpoint()
+    salted, seen = R.dealt(shared, R.ENTRY, "lo")
+    hottest = seen.orderBy("n", ascending=False).first()
+    assert hottest.n >= 400 and bin(hottest.parts).count("1") == R.SALTS
+    assert sorted(map(tuple, R.among(salted, R.ENTRY, seen.filter("n > 1")).select(*shared.columns).collect())) == sorted(
+        map(tuple, shared.join(seen.filter("n > 1"), list(R.ENTRY), "left_semi").select(*shared.columns).collect()))
+    spans = R.repeated_spans(keyed, 20, trigger=4, reach_bits=2, block_bits=1)
+    plan = spans._jdf.queryExecution().toString().split("== Physical Plan ==")[0]
+    joins = [line for line in plan.splitlines() if "Join LeftSemi" in line and ("(ka" in line or "(ha" in line)]
+    assert joins and all("salt" in line for line in joins)
+    assert not [line for line in plan.splitlines() if "Join Inner" in line and "(ka" in line]
+    got = {r.id: [s.asDict() for s in r.spans] for r in spans.collect()}
+    for i, (t, want) in enumerate(zip(texts, _brute(texts, 20), strict=True)):
+        kept, runs = R.remove_spans(t, got.get(i))
+        assert (kept, len(t) - len(kept), runs) == want
