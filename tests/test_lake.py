@@ -334,3 +334,32 @@ def test_a_lake_is_loaded_from_tables_without_a_stored_feed(spark, monkeypatch):
     columns = [f.name for f in registry.FEED]
     want, got = registry.feed(spark, SF_SMALL).select(columns), rides.withColumn("source_month", F.col("source_month").cast("string")).select(columns)
     assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty() and registry.derived_feed(spark, SF_SMALL).dtypes == want.dtypes
+
+
+def _stored(spark, root):
+    """Partitions on disk and in the manifest, by table and version."""
+    tables = load_manifest(spark, root)["tables"]
+    live = {f"{t}/version={tag}/{p}" for t, e in tables.items() if t.startswith(("silver", "quarantine")) for p, tag in e["partitions"].items()}
+    disk = {os.path.relpath(d, root) for top in ("silver", "quarantine") for d, _, names in os.walk(f"{root}/{top}") if any(n.endswith(".parquet") for n in names)}
+    return disk, live
+
+
+def test_a_run_leaves_no_directories_that_it_replaced_itself(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(ownership, "MONTHS_AT_ONCE", 2)
+    paths, feed = LakePaths(tmp_dir), _feed(spark, CROSS)
+    run_bronze_to_silver(spark, paths, feed, months=["2024-02", "2024-03"])  # rides change hands: both months are written twice
+    disk, live = _stored(spark, tmp_dir)
+    assert disk == live
+    run_bronze_to_silver(spark, paths, feed, months=["2024-01"])
+    before, (disk, now) = live, _stored(spark, tmp_dir)
+    assert disk == before | now and before - now  # what was published before stays for its readers
+    assert [r[:5] for r in _silver(spark, paths)] == WANT
+
+
+def test_cross_file_dedupe_stores_no_feed_and_one_version(spark, monkeypatch):
+    stored = {}
+    monkeypatch.setattr(registry, "_once", lambda spark, sf_dir, what, write, once=registry._once: stored.setdefault(what, once(spark, sf_dir, what, write)))
+    monkeypatch.setattr(registry, "_written", {})
+    assert registry.q_cross_file_dedupe(spark, SF_SMALL).count() > 0 and list(stored) == ["cross_file"]
+    disk, live = _stored(spark, stored["cross_file"].removeprefix("file:"))
+    assert disk == live and len(live) > 100
