@@ -363,3 +363,17 @@ def test_cross_file_dedupe_stores_no_feed_and_one_version(spark, monkeypatch):
     assert registry.q_cross_file_dedupe(spark, SF_SMALL).count() > 0 and list(stored) == ["cross_file"]
     disk, live = _stored(spark, stored["cross_file"].removeprefix("file:"))
     assert disk == live and len(live) > 100
+
+
+def test_silver_with_coordinates_is_written_without_a_shuffle(spark, lake, monkeypatch):
+    sc = spark.sparkContext._jsc.sc()
+    days = {"2024-01": [_ride(d, PULocationID=d, DOLocationID=57) for d in range(1, 20)], "2024-02": [_ride(d, PULocationID=266 - d) for d in range(32, 50)]}
+    assert run_bronze_to_silver(spark, lake, _feed(spark, days), months=list(days), enrich_geo=True)["silver_geo_rows"] == 37
+    monkeypatch.setattr(registry, "_lake", lambda spark, sf_dir: (lake, "none"))
+    monkeypatch.setattr(registry, "_written", {})
+    before = sc.newShuffleId()
+    got = registry.q_silver_geo_rides(spark, lake.root).collect()
+    assert sc.newShuffleId() - before == 1
+    want = registry.round_geo(read_table(spark, lake.silver_rides_geo)).select(*got[0].__fields__).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 37
+    assert any(r.start_geo_hash for r in got) and all(r.end_geo_hash is None for r in got if r.do_location_id == 57)  # which has no geometry

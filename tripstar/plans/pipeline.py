@@ -151,7 +151,9 @@ def run_bronze_to_silver(spark: SparkSession, paths: LakePaths, bronze: DataFram
         # months that won or lost rides are written anew with the loaded ones
         under = None if months is None else [ownership.partition(m) for m in changed]
         zones = read_zone_reference_csv(spark, paths.zone_reference)
-        commit.write(SILVER_GEO, enrich_pickup_dropoff(commit.read(SILVER, under), zones), (MONTH,), under)
+        # the rows come in the layout of silver's files: no exchange deals them out again
+        commit.write(SILVER_GEO, enrich_pickup_dropoff(commit.read(SILVER, under), zones), (MONTH,), under, rebalance=False,
+                     sort_within=ownership.SILVER_ORDER)
         counts["silver_geo_rows"] = commit.read(SILVER_GEO).count()
     if run is not None:
         commit.now["runs"][run] = {"months": months, "counts": counts, "version": commit.now["number"]}

@@ -34,6 +34,7 @@ from tripstar.operators.standardise import (
 from tripstar.paths import LakePaths, scratch_path, written_size
 from tripstar.plans import silver as S
 from tripstar.plans.lake import CODEC, vacuum
+from tripstar.plans.ownership import SILVER_ORDER
 from tripstar.plans.pipeline import build_reference, run_bronze_to_silver, run_pipeline
 from tripstar.plans.publish import read_table, write_table
 from tripstar.plans.reports import register_report_views
@@ -304,7 +305,9 @@ def q_silver_geo_rides(spark, sf_dir):
 
     def write(path):
         rides = read_table(spark, paths.silver_rides)
-        write_table(enrich_pickup_dropoff(rides, files.read_zone_reference_csv(spark, paths.zone_reference)), path, ("source_month",))
+        # silver is read in the layout of its files, so its rows are not shuffled to be written by month again
+        write_table(enrich_pickup_dropoff(rides, files.read_zone_reference_csv(spark, paths.zone_reference)), path, ("source_month",),
+                    sort_within=SILVER_ORDER, rebalance=False)
     geo = read_table(spark, _once(spark, sf_dir, "silver_geo", write))
     return round_geo(geo.select("hvfhs_license_num", "request_datetime", "start_time", "end_time", "pu_location_id", "do_location_id",
                                 "start_lat", "start_lon", "start_geo_hash", "end_lat", "end_lon", "end_geo_hash"))
